@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def flag(condition: Column) -> Column:
@@ -53,25 +53,32 @@ ERFC_FAR_DEN = [2.33520497626869185e-3, 6.05183413124413191e-2, 5.27905102951428
                 1.87295284992346725e00, 2.56852019228982242e00, 1.0]
 
 
-def _polynomial(coefficients: list[float], x: Column) -> Column:
-    total = F.lit(coefficients[-1])
+def _polynomial(coefficients: list[float], x: str) -> str:
+    text = f"{coefficients[-1]!r}D"
     for c in reversed(coefficients[:-1]):
-        total = total * x + F.lit(c)
-    return total
-
-
-def erfc(x: Column) -> Column:
-    """Complementary error function of a non-negative column, about double precision."""
-    square = x * x
-    near = 1 - x * _polynomial(ERF_NEAR_NUM, square) / _polynomial(ERF_NEAR_DEN, square)
-    middle = F.exp(-square) * _polynomial(ERFC_MIDDLE_NUM, x) / _polynomial(ERFC_MIDDLE_DEN, x)
-    inverse = F.try_divide(F.lit(1.0), square)
-    tail = inverse * _polynomial(ERFC_FAR_NUM, inverse) / _polynomial(ERFC_FAR_DEN, inverse)
-    far = F.exp(-square) / x * (1 / math.sqrt(math.pi) - tail)
-    return F.when(x <= 0.46875, near).when(x <= 4.0, middle).otherwise(far)
-
-
-def two_sided_p(effect: Column, standard_error: Column) -> Column:
-    """Normal two-sided p-value; 1 when there is no variation to test against."""
-    z = F.abs(effect / standard_error)
-    return F.when(standard_error == 0, F.lit(1.0)).otherwise(erfc(z / math.sqrt(2.0)))
+        text = f"({text} * {x} + {c!r}D)"
+    return text
+
+
+def with_erfc(df: DataFrame, x: Column, out: str) -> DataFrame:
+    """Adds the complementary error function of a non-negative column, about double precision.
+
+    The argument and its powers become columns first: the polynomials name them dozens of times.
+    """
+    ready = (
+        df.withColumn("_x", x)
+        .withColumn("_sq", F.expr("_x * _x"))
+        .withColumn("_inv", F.expr("try_divide(1D, _sq)"))
+    )
+    near = f"1 - _x * {_polynomial(ERF_NEAR_NUM, '_sq')} / {_polynomial(ERF_NEAR_DEN, '_sq')}"
+    middle = f"exp(-_sq) * {_polynomial(ERFC_MIDDLE_NUM, '_x')} / {_polynomial(ERFC_MIDDLE_DEN, '_x')}"
+    tail = f"_inv * {_polynomial(ERFC_FAR_NUM, '_inv')} / {_polynomial(ERFC_FAR_DEN, '_inv')}"
+    far = f"exp(-_sq) / _x * ({1 / math.sqrt(math.pi)!r}D - {tail})"
+    value = f"CASE WHEN _x <= 0.46875D THEN {near} WHEN _x <= 4D THEN {middle} ELSE {far} END"
+    return ready.withColumn(out, F.expr(value)).drop("_x", "_sq", "_inv")
+
+
+def with_two_sided_p(df: DataFrame, effect: str, standard_error: str, out: str = "p_value") -> DataFrame:
+    """Adds the normal two-sided p-value; 1 when there is no variation to test against."""
+    z = f"CASE WHEN {standard_error} = 0 THEN 0D ELSE abs({effect} / {standard_error}) END"
+    return with_erfc(df, F.expr(f"({z}) / {math.sqrt(2.0)!r}D"), out)

@@ -22,19 +22,24 @@ def poisson_cut_points() -> list[str]:
         k += 1
 
 
-def digest_draws(*parts: Column) -> Column:
-    """Four independent uniform draws, as 8-digit hexadecimal text, from one digest of the parts."""
-    digest = F.md5(F.concat_ws(":", *parts))
+def draw_digest(*parts: Column) -> Column:
+    return F.md5(F.concat_ws(":", *parts))
+
+
+def digest_draws(digest: Column) -> Column:
+    """Four independent uniform draws of a digest, as 8-digit hexadecimal text."""
     return F.array(*[F.substring(digest, 1 + 8 * i, 8) for i in range(DRAWS_PER_DIGEST)])
 
 
-def poisson_weight(draw: Column) -> Column:
+def has_weight(draw: Column) -> Column:
+    return draw >= poisson_cut_points()[0]
+
+
+def poisson_weight(draw: str) -> Column:
     """Inverse-CDF Poisson(1) weight of a draw; equal-length hexadecimal text compares as numbers."""
     cuts = poisson_cut_points()
-    weight = F.when(draw < cuts[0], F.lit(0))
-    for k, cut in enumerate(cuts[1:], start=1):
-        weight = weight.when(draw < cut, F.lit(k))
-    return weight.otherwise(F.lit(len(cuts)))
+    steps = " ".join(f"WHEN {draw} < '{cut}' THEN {k}" for k, cut in enumerate(cuts))
+    return F.expr(f"CASE {steps} ELSE {len(cuts)} END")
 
 
 def hashed_bucket(seed: int, key: Column, buckets: int) -> Column:

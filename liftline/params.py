@@ -97,7 +97,7 @@ class Experiment:
     bounds: QualityBounds = field(default_factory=QualityBounds)
     tolerances: Tolerances = field(default_factory=Tolerances)
     bootstrap: Bootstrap = field(default_factory=Bootstrap)
-    segment_bootstrap: Bootstrap = field(default_factory=lambda: Bootstrap(replicates=1500))
+    segment_bootstrap: Bootstrap = field(default_factory=lambda: Bootstrap(replicates=1500, buckets=500))
     power: Power = field(default_factory=Power)
     covariate: str = "baseline_score"
     min_segment_arm: int = 200
