@@ -67,7 +67,10 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", single_file: boo
     """Overwrite a result table. ``single_file`` is for summaries of a few rows only."""
     writer = (df.coalesce(1) if single_file else df).write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.options(header=True, quote='"', escape='"')
+        # The default timestamp format stops at milliseconds.
+        writer = writer.options(
+            header=True, quote='"', escape='"', timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS"
+        )
     writer.format(fmt).save(path)
 
 
