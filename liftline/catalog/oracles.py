@@ -41,7 +41,7 @@ def product(hourly: bool = False) -> str:
             ['organic','paid','referral'][user_id % 3 + 1] AS acquisition_channel,
             {_TRAITS.format(k="user_id")},
             count(*) FILTER (event_type = 'signup')::DOUBLE AS baseline_score,
-            count(*) FILTER (event_type = 'signup' AND value < 50)::INTEGER AS pre_treatment_sessions_30d,
+            count(*) FILTER (event_type = 'signup' AND value < 50) AS pre_treatment_sessions_30d,
             {_ARMS.format(k="user_id")},
             min(ts) AS created_at
         FROM events GROUP BY user_id
@@ -89,7 +89,7 @@ COMMERCE_TABLES = f"""
             {_TRAITS.format(k="s.user_id")},
             round(c_acctbal * 100) AS baseline_score,
             (SELECT count(*) FROM orders WHERE o_custkey = s.user_id
-                AND o_orderdate < s.signup_ts + INTERVAL 365 DAY)::INTEGER AS pre_treatment_sessions_30d,
+                AND o_orderdate < s.signup_ts + INTERVAL 365 DAY) AS pre_treatment_sessions_30d,
             {_ARMS.format(k="s.user_id")},
             s.signup_ts AS created_at
         FROM signups s JOIN customer ON c_custkey = s.user_id JOIN nation ON n_nationkey = c_nationkey
@@ -153,7 +153,7 @@ def user_metrics(activation: int, short: int, long: int, tickets: int, cancel: i
                 WHERE m.user_id = u.user_id) AS time_to_first_match_hours,
             (SELECT count(*) FROM fact_support_tickets t WHERE t.user_id = u.user_id
                 AND created_ts >= u.signup_ts
-                AND created_ts < u.signup_ts + INTERVAL {tickets} DAY)::INTEGER AS support_tickets_30d
+                AND created_ts < u.signup_ts + INTERVAL {tickets} DAY) AS support_tickets_30d
         FROM dim_users u
     )"""
 
@@ -635,7 +635,11 @@ def _arm_columns(value: str) -> str:
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
 
-    q["users_through_csv"] = _with(PRODUCT, "SELECT * EXCLUDE (created_at) FROM dim_users")
+    q["users_through_csv"] = _with(
+        PRODUCT,
+        """SELECT * EXCLUDE (created_at)
+            REPLACE (pre_treatment_sessions_30d::INTEGER AS pre_treatment_sessions_30d) FROM dim_users""",
+    )
     q["events_through_parquet"] = _with(PRODUCT, "SELECT * FROM fact_events")
     q["input_row_counts"] = _with(
         PRODUCT,

@@ -29,7 +29,7 @@ from liftline.operators import (
 from liftline.params import CUPED_METRICS, METRICS
 from liftline.session import scratch_path
 from liftline.sources import files, upsert as up, views
-from liftline.sources.testbeds import COMMERCE, PRODUCT, commerce_tables, product_tables
+from liftline.sources.testbeds import COMMERCE, PRODUCT, commerce_tables, product_tables, raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -122,14 +122,14 @@ def _latest_orders(orders: DataFrame) -> DataFrame:
 
 def upsert_latest_orders(spark, sf):
     """Customers known up to the end of 1997, updated with everything ordered since."""
-    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    orders = raw_table(spark, sf, "orders")
     split = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
     return up.upsert(_latest_orders(orders.where(split)), _latest_orders(orders.where(~split)), ["o_custkey"])
 
 
 def upsert_keeps_absent_columns(spark, sf):
     """The same with incoming rows that do not carry the order count: stored counts stay."""
-    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    orders = raw_table(spark, sf, "orders")
     split = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
     incoming = _latest_orders(orders.where(~split)).drop("orders")
     default = {"orders": F.lit(0).cast("long")}

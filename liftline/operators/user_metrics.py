@@ -90,14 +90,14 @@ def count_after_signup(users: DataFrame, facts: DataFrame, ts: str, days: int, n
         right.join(left, "_join_id")
         .where(inside)
         .groupBy("user_id")
-        .agg(F.count(F.lit(1)).cast("int").alias(name))
+        .agg(F.count(F.lit(1)).alias(name))
     )
 
 
 def support_user_level(users: DataFrame, tickets: DataFrame, exp: Experiment = Experiment()) -> DataFrame:
     counts = count_after_signup(users, tickets, "created_ts", exp.windows.tickets, "_n")
     return users.join(counts, "user_id", "left").select(
-        "user_id", F.coalesce("_n", F.lit(0)).alias("support_tickets_30d")
+        "user_id", F.coalesce("_n", F.lit(0).cast("long")).alias("support_tickets_30d")
     )
 
 
@@ -129,7 +129,7 @@ def _with_guardrails(
             {
                 "cancelled_30d": cancelled(exp.windows.cancellation),
                 "time_to_first_match_hours": hours_to_match(),
-                "support_tickets_30d": F.coalesce("_tickets", F.lit(0)),
+                "support_tickets_30d": F.coalesce("_tickets", F.lit(0).cast("long")),
             }
         )
     )

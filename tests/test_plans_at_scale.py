@@ -7,8 +7,8 @@ import re
 import pytest
 from conftest import SIGNUP
 
-from liftline.operators import ab_tests, events as ev, user_metrics as um
-from liftline.params import Bootstrap
+from liftline.operators import ab_tests, cuped, events as ev, user_metrics as um
+from liftline.params import Bootstrap, Experiment
 from liftline.sources import files
 
 FAR_FROM_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
@@ -78,13 +78,25 @@ def test_a_user_owning_most_tickets_is_split(spark, settings):
     assert sum(got.values()) == 90000 and got[7] >= 30000
 
 
-def test_tests_and_intervals_share_one_pass(spark, settings):
+@pytest.mark.parametrize("kind", ["results", "segments", "cuped"])
+def test_everything_estimated_from_users_takes_one_pass(spark, settings, kind):
     settings(FAR_FROM_BROADCAST)
     df = spark.range(500).selectExpr(
-        "id AS user_id", "CASE WHEN id % 2 = 0 THEN 'control' ELSE 'treatment' END AS assigned_variant",
-        "CAST(id % 3 AS INT) AS y",
+        "id AS user_id",
+        "CASE WHEN id % 2 = 0 THEN 'control' ELSE 'treatment' END AS assigned_variant",
+        "CAST(id % 3 AS INT) AS activated_within_7d",
+        "CAST(id % 5 AS STRING) AS device",
+        "CAST(id % 7 AS STRING) AS age_bucket",
+        "CAST(id % 11 AS DOUBLE) AS baseline_score",
     )
-    result = ab_tests.ab_result_table(df, ["y"], Bootstrap(replicates=8))
-    result.collect()
+    boot, metrics = Bootstrap(replicates=8), ["activated_within_7d"]
+    if kind == "results":
+        result = ab_tests.ab_result_table(df, metrics, boot)
+    elif kind == "segments":
+        exp = Experiment(min_segment_arm=10, segment_bootstrap=boot)
+        result = ab_tests.segment_tests(df, ["device", "age_bucket"], exp=exp)
+    else:
+        result = cuped.cuped_table(df, metrics=metrics, boot=boot)
+    assert result.collect()
     final = plan(result).split("Initial Plan")[0]
     assert "ReusedExchange" in final and final.count("Range (0, 500") == 1
