@@ -100,3 +100,48 @@ def test_everything_estimated_from_users_takes_one_pass(spark, settings, kind):
     assert result.collect()
     final = plan(result).split("Initial Plan")[0]
     assert "ReusedExchange" in final and final.count("Range (0, 500") == 1
+
+
+def test_user_metrics_shuffle_each_input_once(table, settings, tmp_path, spark):
+    """Users, events, cancellations, matches by user; tickets and signup times by the join id; and the
+    partial ticket counts. Every later join reuses the partitioning by user."""
+    settings(FAR_FROM_BROADCAST)
+    root = str(tmp_path)
+    rows = {
+        "dim_users": {"user_id": 1},
+        "fact_events": {"event_id": "e", "user_id": 1, "event_ts": SIGNUP, "event_name": "app_open"},
+        "fact_support_tickets": {"ticket_id": 1, "user_id": 1, "created_ts": SIGNUP},
+        "fact_cancellations": {"user_id": 1, "cancelled_ts": SIGNUP},
+        "fact_matches": {"user_id": 1, "matched_ts": SIGNUP},
+    }
+    for name, row in rows.items():
+        files.write_table(table(name, row), files.table_path(root, name, "parquet"))
+    t = files.read_tables(spark, root, list(rows))
+    text = plan(um.experiment_user_metrics(*t.values()))
+    assert text.count("Exchange hashpartitioning") == 7
+    assert re.search(r"FileScan parquet \[user_id#\d+L,event_ts#\d+,event_name#\d+\]", text)
+
+
+def test_hot_users_events_are_split_when_joined_to_users(spark, settings):
+    settings(
+        {
+            **FAR_FROM_BROADCAST,
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        }
+    )
+    users = spark.range(2000).selectExpr(
+        "id AS user_id", "timestampadd(SECOND, id, TIMESTAMP_NTZ'2024-01-01 00:00:00') AS signup_ts", "'ios' AS device",
+        "'control' AS assigned_variant",
+    )
+    events = spark.range(0, 90000, 1, 16).selectExpr(
+        "CAST(id AS STRING) AS event_id",
+        "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 2000 END AS user_id",
+        "'app_open' AS event_name",
+        "timestampadd(SECOND, id, TIMESTAMP_NTZ'2024-01-01 00:00:00') AS event_ts",
+    )
+    joined = ev.events_with_signup(events, users)
+    assert len(joined.collect()) == 90000
+    assert "SortMergeJoin(skew=true)" in plan(joined).split("Initial Plan")[0]
