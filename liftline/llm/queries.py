@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from liftline.llm import packing, token_output
+from liftline.llm import line_dedup, packing, token_output
 from liftline.llm.common import table
 from liftline.session import scratch_path
 
@@ -24,12 +24,38 @@ def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, with_ids=False)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.dedupe_lines(table(spark, sf_dir, "documents"))
+    return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+LINE_DEDUP = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+  FROM documents
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines
+), counts AS (
+  SELECT k, min(doc_id) AS first, count(DISTINCT doc_id) AS n FROM keyed WHERE length(k) >= 10 GROUP BY k
+), marked AS (
+  SELECT keyed.*, counts.n >= 2 AND keyed.doc_id <> counts.first AS gone FROM keyed LEFT JOIN counts USING (k)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE coalesce(gone, false)) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT coalesce(gone, false)), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_token_output": op3_token_output,
         "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
+        "op9_line_dedup": op9_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_line_dedup": LINE_DEDUP}
