@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from liftline.llm import line_dedup, packing, token_output
+from liftline.llm import decontaminate, line_dedup, packing, token_output
 from liftline.llm.common import table
 from liftline.session import scratch_path
 
@@ -20,6 +20,11 @@ def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_documents(spark, path, with_ids=False)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("tie")
+
+
 def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, with_ids=False)
 
@@ -29,6 +34,23 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+DECONTAMINATION = r"""
+WITH doc_words AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents
+), item_words AS (
+  SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark
+), doc_parts AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM doc_words WHERE len(w) >= 5
+), item_parts AS (
+  SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM item_words WHERE len(w) >= 5
+), ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM doc_parts),
+   qs AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s FROM item_parts),
+   sizes AS (SELECT item_id, count(*) AS n_shingles FROM qs GROUP BY item_id)
+SELECT doc_id, item_id, n_shingles, count(*) AS n_shared, count(*) / n_shingles AS containment
+FROM ds JOIN qs USING (s) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id, n_shingles HAVING count(*) / n_shingles >= 0.8
+"""
+
 LINE_DEDUP = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -52,10 +74,11 @@ FROM marked GROUP BY doc_id
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_token_output": op3_token_output,
+        "op4_decontamination": op4_decontamination,
         "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
         "op9_line_dedup": op9_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_dedup": LINE_DEDUP}
+    return {"op4_decontamination": DECONTAMINATION, "op9_line_dedup": LINE_DEDUP}
