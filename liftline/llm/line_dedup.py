@@ -273,15 +273,15 @@ class LineIndex:
         """``docs`` (all indexed) without their repeated lines: (row, text, n_lines, n_dropped), ``row`` as it came in."""
         text = F.coalesce(col(text_col), F.lit(""))
         rows = docs.select(
-            F.struct(*[col(c) for c in docs.columns]).alias("row"), whole_id(id_col).alias("doc"), F.xxhash64(text).alias("tie"),
-            text.alias("text"),
+            F.struct(*[col(c) for c in docs.columns]).alias("row"), whole_id(id_col).alias("doc"), F.xxhash64(text).alias("tie")
         )
+        text = F.coalesce(F.col("row").getField(text_col), F.lit(""))  # a text is shuffled once
         # a repeated row has each of its lines found once per copy
         drops = self.repeats().groupBy("doc", "tie").agg(F.collect_set("line").alias("gone"))
-        both = rows.join(drops, ["doc", "tie"], "left").withColumn("lines", F.split("text", "\n"))
+        both = rows.join(drops, ["doc", "tie"], "left").withColumn("lines", F.split(text, "\n"))
         gone = F.coalesce("gone", F.array().cast("array<int>"))
         left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), gone)
-        kept = F.when(F.size(gone) == 0, F.col("text")).otherwise(
+        kept = F.when(F.size(gone) == 0, text).otherwise(
             F.concat_ws("\n", F.transform(left, lambda i: F.get("lines", i)))
         )
         return both.select(

@@ -30,7 +30,7 @@ def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = line_dedup.dedupe_lines(table(spark, sf_dir, "documents"))
+    done = line_dedup.dedupe_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
