@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from liftline.llm import decontaminate, line_dedup, packing, token_output
+from liftline.llm import decontaminate, line_dedup, packing, secret_scan, token_output
 from liftline.llm.common import table
 from liftline.session import scratch_path
 
@@ -34,6 +34,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 DECONTAMINATION = r"""
 WITH doc_words AS (
   SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents
@@ -77,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_decontamination": op4_decontamination,
         "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
         "op9_line_dedup": op9_line_dedup,
+        "op10_secret_scan": op10_secret_scan,
     }
 
 
