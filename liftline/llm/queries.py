@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from liftline.llm import decontaminate, line_dedup, packing, secret_scan, token_output
+from liftline.llm import decontaminate, line_dedup, packing, secret_scan, token_output, toxicity
 from liftline.llm.common import table
 from liftline.session import scratch_path
 
@@ -25,6 +25,17 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("tie")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 5
+    sample = toxicity.labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic", remainder != 0, toxicity.PER_LABEL)
+    found = toxicity.scored(docs, toxicity.learn(sample))
+    # the text is not returned: a score is computed once per row and used twice
+    return found.select("doc_id", F.coalesce(remainder == 0, F.lit(False)).alias("held_out"), "score").withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int")
+    )
+
+
 def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, with_ids=False)
 
@@ -79,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_token_output": op3_token_output,
         "op4_decontamination": op4_decontamination,
+        "op5_toxicity": op5_toxicity,
         "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
         "op9_line_dedup": op9_line_dedup,
         "op10_secret_scan": op10_secret_scan,
