@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from liftline.llm import decontaminate, line_dedup, packing, secret_scan, token_output, toxicity
+from liftline.llm import decontaminate, line_dedup, packing, quality, secret_scan, token_output, toxicity
 from liftline.llm.common import table
 from liftline.session import scratch_path
 
@@ -36,6 +36,16 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 3
+    sample = toxicity.labelled_sample(docs, table(spark, sf_dir, "labels"), "quality", remainder != 1, quality.PER_LABEL)
+    found = quality.scored(docs, quality.learn(sample))
+    return found.select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "score").withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int")
+    )
+
+
 def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, with_ids=False)
 
@@ -91,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_output": op3_token_output,
         "op4_decontamination": op4_decontamination,
         "op5_toxicity": op5_toxicity,
+        "op6_quality": op6_quality,
         "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
         "op9_line_dedup": op9_line_dedup,
         "op10_secret_scan": op10_secret_scan,
