@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from liftline.llm import decontaminate, line_dedup, packing, quality, secret_scan, token_output, toxicity
+from liftline.llm import decontaminate, line_dedup, near_dedup, packing, quality, secret_scan, token_output, toxicity
 from liftline.llm.common import table
 from liftline.session import scratch_path
 
@@ -50,6 +50,10 @@ def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, with_ids=False)
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.dedupe_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -103,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_toxicity": op5_toxicity,
         "op6_quality": op6_quality,
         "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
+        "op8_near_dedup": op8_near_dedup,
         "op9_line_dedup": op9_line_dedup,
         "op10_secret_scan": op10_secret_scan,
     }
