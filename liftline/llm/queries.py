@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from liftline.llm import decontaminate, line_dedup, near_dedup, packing, quality, secret_scan, token_output, toxicity, vector_search
+from liftline.llm import decontaminate, line_dedup, near_dedup, packing, quality, secret_scan, suffix_dedup, token_output, toxicity, vector_search
 from liftline.llm.common import table
 from liftline.session import scratch_path
 
@@ -18,6 +18,12 @@ def op1_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.dedupe(table(spark, sf_dir, "documents"))
+    n_spans = F.size("spans").cast("long").alias("n_spans")
+    return found.select("doc_id", "n_bytes", "n_removed", n_spans, F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
     token_output.write_tokens(table(spark, sf_dir, "documents"), path, TOKENIZER)
@@ -107,6 +113,7 @@ FROM marked GROUP BY doc_id
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_vector_search": op1_vector_search,
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op3_token_output": op3_token_output,
         "op4_decontamination": op4_decontamination,
         "op5_toxicity": op5_toxicity,
