@@ -17,6 +17,7 @@ columns are kept; no rows give no rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -131,13 +132,13 @@ def repeated(counts: DataFrame) -> DataFrame:
 
 
 class LineIndex:
-    """The stored index at ``path``. Each change writes the next version beside the present one."""
+    """The stored index at ``path``. Each change writes a version of its own beside the present one, which stays as it is."""
 
-    def __init__(self, spark: SparkSession, path: str, version: int = 0, shards: int = 1):
+    def __init__(self, spark: SparkSession, path: str, version: str = "first", shards: int = 1):
         self.spark, self.path, self.version, self.shards = spark, path.rstrip("/"), version, shards
 
-    def _at(self, name: str, version: int | None = None) -> str:
-        return f"{self.path}/v{self.version if version is None else version}/{name}"
+    def _at(self, name: str) -> str:
+        return f"{self.path}/{self.version}/{name}"
 
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self._at(name))
@@ -177,8 +178,8 @@ class LineIndex:
         return index
 
     def _changed(self, postings: DataFrame, counts: DataFrame) -> LineIndex:
-        """The next version, with the filters changed by what became or ceased to be repeated."""
-        following = LineIndex(self.spark, self.path, self.version + 1, self.shards)
+        """Another version, with the filters changed by what became or ceased to be repeated."""
+        following = LineIndex(self.spark, self.path, uuid.uuid4().hex, self.shards)
         postings.write.parquet(following._at("postings"))
         counts.write.parquet(following._at("counts"))
         before, after = repeated(self.counts).select("key", "hash"), repeated(following.counts).select("key", "hash")

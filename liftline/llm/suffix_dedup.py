@@ -265,10 +265,11 @@ def _settled(contexts: DataFrame, length: int, limit: int, level: int = 0) -> Da
     few = _indexed(grouped.where(F.col("members").between(2, limit)), length)
     found = alone.unionByName(few)
     many = grouped.where(F.col("members") > limit)
-    if level == len(RANGES) or many.isEmpty():
+    widths = [w for w in RANGES if w <= length // 4]
+    if level == len(widths) or many.isEmpty():
         return found
     # windows by their distance from the anchor, in ranges, and by the bytes that all windows of a range share
-    width = RANGES[level]
+    width = widths[level]
     far, near = F.floor(F.col("offset") / width), F.floor((F.col("offset") - F.length("bytes") + length) / width)
     parts = many.withColumn("part", F.explode(F.sequence(near, far)))
     low = F.greatest(F.lit(0), F.col("offset") - F.col("part") * width - (width - 1)).cast("int")
