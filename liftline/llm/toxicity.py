@@ -59,11 +59,13 @@ def fold_table() -> dict[int, str]:
 
 
 APART = re.compile(r"[^a-zͰ-\U0010ffff]+")
+#: Signs that end a word are punctuation, not letters.
+ENDING_SIGNS = re.compile(r"[!|@$+]+(?![^\W_])")
 
 
 def folded(text: str) -> str:
-    """The words of a text, folded, one blank around each; signs are letters only between or next to letters."""
-    return " " + APART.sub(" ", text.lower().translate(fold_table())) + " "
+    """The words of a text, folded, one blank around each; signs are letters only where a letter follows."""
+    return " " + APART.sub(" ", ENDING_SIGNS.sub(" ", text).lower().translate(fold_table())).strip() + " "
 
 
 @dataclass
