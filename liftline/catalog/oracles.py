@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 from liftline.operators.decisions import (
     DICTIONARY,
@@ -302,13 +303,38 @@ _NULL_ARM = """
     SELECT 'null_assigned_variant' AS "check", count(*) AS value, NULL AS low, 0 AS high, count(*) = 0 AS passed
     FROM dim_users WHERE assigned_variant IS NULL"""
 _ALLOCATION = """
-    SELECT 'treatment_share' AS "check", avg((assigned_variant = 'treatment')::INTEGER) AS value, 0.4 AS low,
-        0.6 AS high, avg((assigned_variant = 'treatment')::INTEGER) BETWEEN 0.4 AND 0.6 AS passed FROM dim_users"""
+    SELECT 'treatment_share' AS "check", avg((assigned_variant IS NOT DISTINCT FROM 'treatment')::INTEGER) AS value, 0.4 AS low,
+        0.6 AS high, avg((assigned_variant IS NOT DISTINCT FROM 'treatment')::INTEGER) BETWEEN 0.4 AND 0.6 AS passed FROM dim_users"""
 _ACTIVATION = """
     SELECT 'activation_rate' AS "check", avg(activated_within_7d) AS value, 0.05 AS low, 0.8 AS high,
         avg(activated_within_7d) BETWEEN 0.05 AND 0.8 AS passed FROM um"""
 
 
+# Fixed rules: the faults of the spoiled tables, by user id.
+_FAULTS = """
+    dirty_dim_users AS (
+        SELECT u.* REPLACE (
+            CASE WHEN user_id % 13 <> 0 THEN device END AS device,
+            CASE WHEN user_id % 17 <> 0 THEN assigned_variant END AS assigned_variant,
+            CASE WHEN user_id % 19 = 0 THEN 'tv' ELSE acquisition_channel END AS acquisition_channel)
+        FROM dim_users u, generate_series(1, 2) AS copies(k) WHERE user_id % 23 <> 0 AND (k = 1 OR user_id % 29 = 0)),
+    dirty_fact_subscriptions AS (
+        SELECT * REPLACE (CASE WHEN user_id % 31 = 0 THEN 0 ELSE price_monthly END AS price_monthly)
+        FROM fact_subscriptions WHERE user_id % 7 <> 0),
+    dirty_fact_cancellations AS (
+        SELECT * FROM fact_cancellations UNION ALL SELECT * FROM fact_cancellations WHERE user_id % 5 = 0),
+    dirty_fact_events AS (SELECT * FROM fact_events UNION ALL SELECT * FROM fact_events WHERE user_id % 41 = 0),
+    dirty_fact_matches AS (
+        SELECT * REPLACE (CASE WHEN user_id % 11 <> 0 THEN therapist_id END AS therapist_id) FROM fact_matches),
+    dirty_fact_sessions AS (SELECT * FROM fact_sessions),
+    dirty_fact_support_tickets AS (SELECT * FROM fact_support_tickets)"""
+
+
+def _on_spoiled(select: str) -> str:
+    """A check read from the spoiled tables; its quoted table names stay."""
+    return _with(f"{COMMERCE_TABLES}, {_FAULTS}", re.sub(r"(?<!')\b(dim_users|fact_[a-z_]+)\b(?!')", r"dirty_\1", select))
+
+
 def _gates(*parts: str) -> str:
     return f"SELECT {_GATE_COLUMNS} FROM ({' UNION ALL '.join(f'({p})' for p in parts)})"
 
@@ -637,8 +663,7 @@ def oracle_sql() -> dict[str, str]:
 
     q["users_through_csv"] = _with(
         PRODUCT,
-        """SELECT * EXCLUDE (created_at)
-            REPLACE (pre_treatment_sessions_30d::INTEGER AS pre_treatment_sessions_30d) FROM dim_users""",
+        """SELECT * REPLACE (pre_treatment_sessions_30d::INTEGER AS pre_treatment_sessions_30d) FROM dim_users""",
     )
     q["events_through_parquet"] = _with(PRODUCT, "SELECT * FROM fact_events")
     q["input_row_counts"] = _with(
@@ -674,6 +699,11 @@ def oracle_sql() -> dict[str, str]:
     q["primary_key_violations"] = _with(PRODUCT, _key_violations())
     q["foreign_key_violations"] = _with(COMMERCE_TABLES, _reference_violations())
     q["domain_violations"] = _with(COMMERCE_TABLES, _DOMAINS)
+    q["spoiled_null_violations"] = _on_spoiled(_nulls())
+    q["spoiled_primary_key_violations"] = _on_spoiled(_key_violations())
+    q["spoiled_foreign_key_violations"] = _on_spoiled(_reference_violations())
+    q["spoiled_domain_violations"] = _on_spoiled(_DOMAINS)
+    q["spoiled_gates"] = _on_spoiled(_gates(_NULL_ARM, _ALLOCATION))
     q["volume_gates"] = _with(PRODUCT, _gates(_VOLUME))
     q["null_assignment_gate"] = _with(PRODUCT, _gates(_NULL_ARM))
     q["allocation_gate"] = _with(PRODUCT, _gates(_ALLOCATION))
@@ -732,6 +762,7 @@ def oracle_sql() -> dict[str, str]:
     q["retention_user_level"] = _with(PRODUCT_UM, f"SELECT {who}, retained_d7, retained_d30 FROM um")
     q["support_user_level"] = _with(PRODUCT_UM, "SELECT user_id, support_tickets_30d FROM um")
     q["cancellation_user_level"] = _with(PRODUCT_UM, "SELECT user_id, cancelled_30d FROM um")
+    q["spoiled_cancellation_user_level"] = _with(COMMERCE_UM, "SELECT user_id, cancelled_30d FROM um")
     q["match_latency_user_level"] = _with(PRODUCT_UM, f"SELECT user_id, {_HOURS} FROM um")
     q["guardrails_user_level"] = _with(
         COMMERCE_UM, f"SELECT {who}, cancelled_30d, {_HOURS}, support_tickets_30d FROM um"
@@ -857,9 +888,7 @@ def oracle_sql() -> dict[str, str]:
     )
     interval = f"SELECT metric, {_r('ci_low', 'ci_low')}, {_r('ci_high', 'ci_high')} FROM intervals"
     q["bootstrap_intervals"] = _with(f"{commerce}, {_bootstrap(_METRIC_LONG, 2000, 1000)}", interval)
-    q["bootstrap_intervals_per_user"] = _with(
-        f"{commerce}, {_bootstrap(_long('um0', metrics=['activated_within_7d']), 2000, None)}", interval
-    )
+    q["bootstrap_intervals_per_user"] = _with(f"{commerce}, {_bootstrap(_METRIC_LONG, 2000, None)}", interval)
     q["ab_results"] = _with(
         f"{_COMMERCE_TESTS}, {_bootstrap(_METRIC_LONG, 2000, 1000)}",
         f"""SELECT metric, {_TESTS_ROUNDED}, {_r("ci_low", "ci_low")}, {_r("ci_high", "ci_high")}, n_control,
@@ -940,6 +969,24 @@ def oracle_sql() -> dict[str, str]:
             ok_l AS guardrail_latency_within_tolerance, ok_t AS guardrail_support_within_tolerance
         FROM checked""",
     )
+    costly, winning = (
+        f"um0 AS (SELECT * REPLACE (CASE WHEN {rule} THEN 'treatment' ELSE 'control' END AS assigned_variant) FROM in_arms)"
+        for rule in (
+            "activated_within_7d = 1 OR cancelled_30d = 1 OR support_tickets_30d > 0 OR user_id % 4 = 0",
+            "activated_within_7d = 1 AND cancelled_30d = 0 AND support_tickets_30d = 0 OR user_id % 4 = 0",
+        )
+    )
+    for name, like, arms in (
+        ("guardrail_regressions_found", "guardrail_regressions", costly),
+        ("decision_by_pvalue_costly", "decision_by_pvalue", costly),
+        ("decision_by_pvalue_winning", "decision_by_pvalue", winning),
+    ):
+        q[name] = q[like].replace(_IN_ARMS, f"{_IN_ARMS.replace('um0', 'in_arms', 1)}, {arms}")
+    q["strongest_segment_found"] = _with(
+        _segment_tests(140, 0.05).replace(_IN_ARMS, f"{_IN_ARMS.replace('um0', 'in_arms', 1)}, {winning}"),
+        "SELECT * FROM segment_results WHERE significant_fdr_05"
+        " ORDER BY effect_abs DESC, segment_dimension, segment_value LIMIT 1",
+    )
     q["kpi_snapshot"] = _with(
         f"""{_COMMERCE_TESTS}, {_POWER}, {_bootstrap(_METRIC_LONG, 2000, 1000)},
         reductions AS (SELECT 100 * (1 - var_samp(y - theta * (x - x_mean)) / var_samp(y)) AS reduction

@@ -29,8 +29,13 @@ from liftline.operators import (
 from liftline.params import CUPED_METRICS, METRICS
 from liftline.session import scratch_path
 from liftline.sources import files, upsert as up, views
+from liftline.sources.spoiled import spoiled_tables
 from liftline.sources.testbeds import COMMERCE, PRODUCT, commerce_tables, product_tables, raw_table
 
+# Arms by outcome: the primary metric wins without and with worsened guardrails.
+WINNING_ARM = "activated_within_7d = 1 AND cancelled_30d = 0 AND support_tickets_30d = 0 OR user_id % 4 = 0"
+COSTLY_ARM = "activated_within_7d = 1 OR cancelled_30d = 1 OR support_tickets_30d > 0 OR user_id % 4 = 0"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -81,11 +86,11 @@ def _commerce_sessions_metrics(spark, sf):
 
 
 def users_through_csv(spark, sf):
-    """Users written as CSV and read back with the declared schema."""
+    """Users written as CSV and read back with the declared schema, stored creation times included."""
     root = scratch_path(spark, "users-csv")
-    users = product_tables(spark, sf)["dim_users"].drop("created_at")
+    users = product_tables(spark, sf)["dim_users"]
     files.write_table(users, files.table_path(root, "dim_users", "csv"), "csv")
-    return files.read_tables(spark, root, ["dim_users"], "csv")["dim_users"].drop("created_at")
+    return files.read_tables(spark, root, ["dim_users"], "csv")["dim_users"]
 
 
 def events_through_parquet(spark, sf):
@@ -155,6 +160,37 @@ def domain_violations(spark, sf):
     return quality.domain_violations(commerce_tables(spark, sf))
 
 
+def _spoiled(spark, sf):
+    return spoiled_tables(commerce_tables(spark, sf))
+
+
+def spoiled_null_violations(spark, sf):
+    return quality.null_violations(_spoiled(spark, sf))
+
+
+def spoiled_primary_key_violations(spark, sf):
+    return quality.primary_key_violations(_spoiled(spark, sf))
+
+
+def spoiled_foreign_key_violations(spark, sf):
+    return quality.foreign_key_violations(_spoiled(spark, sf))
+
+
+def spoiled_domain_violations(spark, sf):
+    return quality.domain_violations(_spoiled(spark, sf))
+
+
+def spoiled_gates(spark, sf):
+    users = _spoiled(spark, sf)["dim_users"]
+    return quality.null_assignment_gate(users).unionByName(quality.allocation_gate(users, COMMERCE))
+
+
+def spoiled_cancellation_user_level(spark, sf):
+    """Repeated cancellations leave one row per user."""
+    tables = commerce_tables(spark, sf)
+    return um.cancellation_user_level(tables["dim_users"], _spoiled(spark, sf)["fact_cancellations"], COMMERCE)
+
+
 def volume_gates(spark, sf):
     t = product_tables(spark, sf)
     return quality.volume_gates(t["dim_users"], t["fact_events"], PRODUCT)
@@ -245,7 +281,8 @@ def json_properties(spark, sf):
 
 def activation_user_level(spark, sf):
     t = product_tables(spark, sf, hourly=True)
-    return um.activation_user_level(t["dim_users"], ev.deduped_events(t["fact_events"]), PRODUCT)
+    # a first time is the same whether an event stands once or twice
+    return um.activation_user_level(t["dim_users"], t["fact_events"], PRODUCT)
 
 
 def retention_user_level(spark, sf):
@@ -448,12 +485,9 @@ def bootstrap_intervals(spark, sf):
 
 
 def bootstrap_intervals_per_user(spark, sf):
-    """Every user is its own resampling unit; the primary metric only."""
+    """Every user is its own resampling unit: exact, and the work grows with users x replicates."""
     boot = replace(COMMERCE.bootstrap, buckets=None)
-    return rounded(
-        bootstrap.bootstrap_difference(_commerce_metrics(spark, sf), ["activated_within_7d"], boot),
-        ["ci_low", "ci_high"],
-    )
+    return rounded(bootstrap.bootstrap_difference(_commerce_metrics(spark, sf), boot=boot), ["ci_low", "ci_high"])
 
 
 def _results(spark, sf):
@@ -583,6 +617,34 @@ def decision_by_pvalue(spark, sf):
     return decisions.decision_by_pvalue(_tests(spark, sf))
 
 
+def _by_outcome(spark, sf, rule: str) -> DataFrame:
+    """Users whose arm follows from their outcomes, so that effects are there to find."""
+    return _commerce_metrics(spark, sf).withColumn("assigned_variant", F.expr(f"IF({rule}, 'treatment', 'control')"))
+
+
+def _tests_by_outcome(spark, sf, rule: str) -> DataFrame:
+    return ab_tests.difference_tests(moments.arm_moments(_by_outcome(spark, sf, rule)))
+
+
+def guardrail_regressions_found(spark, sf):
+    found = decisions.guardrail_regressions(_tests_by_outcome(spark, sf, COSTLY_ARM))
+    return rounded(found, ["effect_abs", "p_value"])
+
+
+def decision_by_pvalue_costly(spark, sf):
+    return decisions.decision_by_pvalue(_tests_by_outcome(spark, sf, COSTLY_ARM))
+
+
+def decision_by_pvalue_winning(spark, sf):
+    return decisions.decision_by_pvalue(_tests_by_outcome(spark, sf, WINNING_ARM))
+
+
+def strongest_segment_found(spark, sf):
+    """The strongest segment under the rule of the experiment, on arms that differ."""
+    segments = ab_tests.segment_tests(_by_outcome(spark, sf, WINNING_ARM), exp=COMMERCE)
+    return rounded(decisions.strongest_segment(segments), _SEGMENT_DOUBLES)
+
+
 def decision_by_tolerance(spark, sf):
     decision = decisions.decision_by_tolerance(sm.dashboard_variant_summary(_product_dashboard(spark, sf)))
     return rounded(
@@ -681,6 +743,16 @@ QUERIES: list[Query] = [
     difference_tests,
     bootstrap_intervals,
     bootstrap_intervals_per_user,
+    spoiled_null_violations,
+    spoiled_primary_key_violations,
+    spoiled_foreign_key_violations,
+    spoiled_domain_violations,
+    spoiled_gates,
+    spoiled_cancellation_user_level,
+    guardrail_regressions_found,
+    decision_by_pvalue_costly,
+    decision_by_pvalue_winning,
+    strongest_segment_found,
     ab_results,
     ab_results_with_fdr,
     segment_q_values,

@@ -23,15 +23,16 @@ def relative(change: Column, base: Column) -> Column:
 
 
 def percent_text(column: Column) -> Column:
-    return F.format_string("%.2f%%", 100 * column)
+    return F.when(column.isNotNull(), F.format_string("%.2f%%", 100 * column))
 
 
 def number_text(column: Column) -> Column:
-    return F.format_string("%.4f", column)
+    return F.when(column.isNotNull(), F.format_string("%.4f", column))
 
 
 def clamp_probability(p: Column) -> Column:
-    return F.least(F.greatest(p, F.lit(1e-6)), F.lit(1 - 1e-6))
+    """The probability kept off 0 and 1; NULL stays NULL."""
+    return F.when(p.isNotNull(), F.least(F.greatest(p, F.lit(1e-6)), F.lit(1 - 1e-6)))
 
 
 # Coefficients of W. J. Cody's rational Chebyshev approximations of erf and erfc

@@ -33,14 +33,16 @@ def replicate_sums(
 ) -> DataFrame:
     """Weighted sums of the given cell columns per (groups, arm, replicate)."""
     blocks = math.ceil(boot.replicates / DRAWS_PER_DIGEST)
-    # Always true. Naming the spread columns keeps them in the cells on this side too, so that the
+    # Always true. Naming the other columns keeps them in the cells on this side too, so that the
     # cells behind the tests and those behind the intervals are one shuffle, computed once.
-    spreads = [c for c in cells.columns if c.startswith(("q", "x_m"))]
+    spreads = [c for c in cells.columns if c.startswith(("q", "x_m", "n_all_", "sy_all_"))]
     cells = cells.where(" AND ".join(f"(`{c}` IS NULL OR `{c}` >= double('-inf'))" for c in spreads))
     if boot.buckets is not None:
         # Cells are few and small, but each becomes thousands of weighted rows: spread them first.
         tasks = math.ceil(2 * boot.buckets * boot.replicates / ROWS_PER_TASK)
-        cells = cells.repartition(tasks * (2 if groups else 1), *groups, ARM, BUCKET)
+        if groups:  # their number is unknown: as many tasks as a shuffle has
+            tasks = max(2 * tasks, int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        cells = cells.repartition(tasks, *groups, ARM, BUCKET)
     # Digest and weight are columns of their own steps, so each is worked out once per row; draws
     # that give weight 0 are dropped before they are weighed.
     digest = draw_digest(F.lit(str(boot.seed)), F.col(ARM), F.col(BUCKET).cast("string"), F.col("_block").cast("string"))

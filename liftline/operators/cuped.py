@@ -32,7 +32,8 @@ def cuped_table(
     boot: Bootstrap = Bootstrap(),
 ) -> DataFrame:
     """Ten columns per metric. The adjustment is linear, so slope, variances, effect and replicates
-    all follow from bucket sums and centred co-moments; users are scanned once."""
+    all follow from bucket sums and centred co-moments; users are scanned once. The raw effect is that of
+    all users with an outcome; everything else is over those with a covariate too."""
     cells = bucket_cells(df, metrics, boot, x=covariate)
     arms = arm_parts(df, cells, metrics, boot, x=covariate)
 
@@ -66,7 +67,8 @@ def cuped_table(
     )
     raw_effect = difference_tests(
         arms.select(
-            "metric", ARM, "n", F.try_divide(F.col("sy"), n).alias("mean"), F.lit(0.0).alias("variance")
+            "metric", ARM, F.col("n_all").alias("n"), F.try_divide(F.col("sy_all"), F.col("n_all")).alias("mean"),
+            F.lit(0.0).alias("variance"),
         )
     ).select("metric", F.col("effect_abs").alias("raw_effect_abs"))
     tests = difference_tests(tests_input).select(

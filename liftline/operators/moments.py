@@ -19,14 +19,16 @@ BUCKET = "_bucket"
 
 
 def _parts(x: str | None) -> list[str]:
-    return ["n", "sy", "qyy"] + (["sx", "qxx", "qxy", "x_min", "x_max"] if x else [])
+    return ["n", "sy", "qyy"] + (["sx", "qxx", "qxy", "x_min", "x_max", "n_all", "sy_all"] if x else [])
 
 
 def _totals(metric: str, x: str | None) -> list[Column]:
-    """Aggregates of one metric; with a covariate, over rows where both are present."""
+    """Aggregates of one metric; with a covariate, over rows where both are present, and the count and sum
+    of all its values besides."""
     y = f"CAST(`{metric}` AS DOUBLE)"
     exprs = {"n": f"count({y})", "sy": f"sum({y})", "qyy": f"var_pop({y}) * count({y})"}
     if x:
+        alone = {"n_all": f"count({y})", "sy_all": f"sum({y})"}
         both = f"`{metric}` IS NOT NULL AND `{x}` IS NOT NULL"
         y = f"CASE WHEN {both} THEN {y} END"
         xx = f"CASE WHEN {both} THEN CAST(`{x}` AS DOUBLE) END"
@@ -37,7 +39,7 @@ def _totals(metric: str, x: str | None) -> list[Column]:
             "sx": f"sum({xx})",
             "qxx": f"var_pop({xx}) * count({y})",
             "qxy": f"covar_pop({xx}, {y}) * count({y})",
-        }
+        } | alone
     out = [F.expr(f"coalesce({e}, 0) AS `{part}_{metric}`") for part, e in exprs.items()]
     if x:
         out += [F.expr(f"{f}({xx}) AS `x_{f}_{metric}`") for f in ("min", "max")]
@@ -84,6 +86,7 @@ def merged(rows: DataFrame, keys: Sequence[str], x: str | None = None) -> DataFr
     out += [F.coalesce(F.sum(e), F.lit(0.0)).alias(name) for name, e in sums.items()]
     if x:
         out += [F.sum("sx").alias("sx"), F.min("x_min").alias("x_min"), F.max("x_max").alias("x_max")]
+        out += [F.sum(c).alias(c) for c in ("n_all", "sy_all")]
     return rows.groupBy(*keys).agg(*out)
 
 

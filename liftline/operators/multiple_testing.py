@@ -13,8 +13,9 @@ def benjamini_hochberg(
     df: DataFrame, ties: Sequence[str], family: Sequence[str], p: str = "p_value", out: str = "p_value_fdr"
 ) -> DataFrame:
     """Adds the q-value of each test within its family. Rows are test results, one per metric or
-    segment; equal p-values are ranked by the ``ties`` columns and get equal q-values."""
-    by_p = Window.partitionBy(*family).orderBy(F.col(p), *ties)
+    segment; equal p-values are ranked by the ``ties`` columns and get equal q-values. A missing p-value
+    ranks last, counts as a test of its family and gets the q-value 1."""
+    by_p = Window.partitionBy(*family).orderBy(F.col(p).asc_nulls_last(), *ties)
     rank = F.row_number().over(by_p)
     tests = F.count(F.lit(1)).over(Window.partitionBy(*family))
     ranked = df.withColumn("_rank", rank).withColumn("_scaled", F.col(p) * tests / F.col("_rank"))
@@ -32,13 +33,14 @@ def metric_family(primary: str = PRIMARY_METRIC) -> Column:
 
 
 def with_metric_fdr(results: DataFrame, primary: str = PRIMARY_METRIC, level: float = 0.05) -> DataFrame:
-    """The primary metric keeps its own p-value; all others are adjusted together."""
+    """The primary metric keeps its own p-value; all others are adjusted together. A test without a
+    p-value is never significant."""
     adjusted = benjamini_hochberg(results.withColumn("_family", metric_family(primary)), ["metric"], ["_family"])
     return (
         adjusted.withColumn(
             "p_value_fdr",
             F.when(F.col("_family") == "primary", F.col("p_value")).otherwise(F.col("p_value_fdr")),
         )
-        .withColumn("significant_fdr_05", F.col("p_value_fdr") <= level)
+        .withColumn("significant_fdr_05", F.coalesce(F.col("p_value_fdr") <= level, F.lit(False)))
         .drop("_family")
     )

@@ -25,7 +25,7 @@ def required_n(baseline: Column, lift: Column, power: Power = Power()) -> Column
 
 
 def detectable_lift(baseline: Column, n_control: Column, n_treatment: Column, power: Power = Power()) -> Column:
-    """Smallest lift the smaller arm can detect, by halving the search range."""
+    """Smallest lift the smaller arm can detect, by halving the search range; NULL without a baseline or an arm."""
     available = F.greatest(F.lit(2), F.least(n_control, n_treatment))
 
     def halve(state: Column, _step: Column) -> Column:
@@ -37,7 +37,8 @@ def detectable_lift(baseline: Column, n_control: Column, n_treatment: Column, po
         )
 
     start = F.struct(F.lit(MDE_LOW).alias("low"), F.lit(MDE_HIGH).alias("high"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(MDE_STEPS)), start, halve, lambda state: state["high"])
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(MDE_STEPS)), start, halve, lambda state: state["high"])
+    return F.when(baseline.isNotNull() & n_control.isNotNull() & n_treatment.isNotNull(), found)
 
 
 def power_columns(tests: DataFrame, power: Power = Power()) -> DataFrame:

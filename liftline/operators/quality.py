@@ -59,7 +59,7 @@ def foreign_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
     for name, df in tables.items():
         for column, (parent, parent_key) in TABLES[name].references.items():
             if parent not in tables:
-                continue
+                raise ValueError(f"{name}.{column} refers to {parent}, which is not among the tables")
             known = tables[parent].select(F.col(parent_key).alias(column))
             frames.append(
                 df.where(F.col(column).isNotNull())

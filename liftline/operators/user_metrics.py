@@ -101,16 +101,21 @@ def support_user_level(users: DataFrame, tickets: DataFrame, exp: Experiment = E
     )
 
 
+def first_per_user(facts: DataFrame, ts: str) -> DataFrame:
+    """The earliest time per user, so that a repeated fact neither repeats a user nor skews the join."""
+    return facts.groupBy("user_id").agg(F.min(ts).alias(ts))
+
+
 def cancellation_user_level(
     users: DataFrame, cancellations: DataFrame, exp: Experiment = Experiment()
 ) -> DataFrame:
-    return users.join(cancellations.select("user_id", "cancelled_ts"), "user_id", "left").select(
+    return users.join(first_per_user(cancellations, "cancelled_ts"), "user_id", "left").select(
         "user_id", cancelled(exp.windows.cancellation).alias("cancelled_30d")
     )
 
 
 def match_latency_user_level(users: DataFrame, matches: DataFrame) -> DataFrame:
-    return users.join(matches.select("user_id", "matched_ts"), "user_id", "left").select(
+    return users.join(first_per_user(matches, "matched_ts"), "user_id", "left").select(
         "user_id", hours_to_match().alias("time_to_first_match_hours")
     )
 
@@ -122,8 +127,8 @@ def _with_guardrails(
     """Joins the three per-user guardrail facts; all sides are partitioned by user_id once."""
     counts = count_after_signup(users, tickets, "created_ts", exp.windows.tickets, "_tickets")
     return (
-        base.join(cancellations.select("user_id", "cancelled_ts"), "user_id", "left")
-        .join(matches.select("user_id", "matched_ts"), "user_id", "left")
+        base.join(first_per_user(cancellations, "cancelled_ts"), "user_id", "left")
+        .join(first_per_user(matches, "matched_ts"), "user_id", "left")
         .join(counts, "user_id", "left")
         .withColumns(
             {

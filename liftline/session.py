@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,11 +31,11 @@ def local_session(cores: int | str = "*", name: str = "liftline", **extra: str)
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder in the shared space the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting falls back to a temporary folder.
+    Only a session known to run on one machine (``local`` or ``local[...]``) falls back to a temporary folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "unknown")):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="liftline-")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -34,8 +34,10 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet")
     """One warehouse table with its declared schema; never inferred."""
     spec = TABLES[name]
     schema = spec.schema
-    if fmt == "csv":
-        schema = T.StructType([f for f in schema.fields if f.name not in spec.optional])
+    if fmt == "csv" and spec.optional:
+        # a file may or may not carry the columns that have defaults; its header line tells
+        there = spark.read.option("header", True).csv(table_path(root, name, fmt)).columns
+        schema = T.StructType([f for f in schema.fields if f.name not in spec.optional or f.name in there])
     return _with_defaults(_read(spark, table_path(root, name, fmt), fmt, schema), spec)
 
 

@@ -60,10 +60,21 @@ def upsert_tables(
         key = TABLES[name].key
         if not repeated_keys(incoming, [key]).isEmpty():
             raise ValueError(f"incoming rows for {name} repeat values of {key}")
+        if not incoming.where(F.col(key).isNull()).isEmpty():
+            raise ValueError(f"incoming rows for {name} have no {key}")
 
     run = uuid.uuid4().hex
     fs, hadoop_path = _file_system(spark, root)
     staged, previous = f"{root}/_staged/{run}", f"{root}/_previous/{run}"
+    try:
+        _write_merged(spark, root, batch, staged, fmt)
+    except Exception:
+        fs.delete(hadoop_path(staged), True)
+        raise
+    _swap(fs, hadoop_path, root, list(batch), staged, previous, fmt)
+
+
+def _write_merged(spark: SparkSession, root: str, batch: dict[str, DataFrame], staged: str, fmt: str) -> None:
     for name, incoming in batch.items():
         spec = TABLES[name]
         if missing_inputs(spark, root, [name], fmt):
@@ -76,10 +87,12 @@ def upsert_tables(
             merged = upsert(read_table(spark, root, name, fmt), incoming, [spec.key], defaults)
         merged.select(*spec.schema.fieldNames()).write.format(fmt).save(table_path(staged, name, fmt))
 
+
+def _swap(fs, hadoop_path, root: str, names: list[str], staged: str, previous: str, fmt: str) -> None:
     fs.mkdirs(hadoop_path(previous))
     moved = []
     try:
-        for name in batch:
+        for name in names:
             live, old = table_path(root, name, fmt), table_path(previous, name, fmt)
             had_table = fs.exists(hadoop_path(live))
             if had_table and not fs.rename(hadoop_path(live), hadoop_path(old)):

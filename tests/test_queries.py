@@ -6,11 +6,12 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from liftline.catalog import oracles, queries  # the optional package has tests of its own
 
 SF = "/root/testdata/sf0.001"
 # Row-wise Python and pairings of everything with everything.
 UNWANTED = ["PythonUDF", "EvalPython", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"]
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = queries.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
