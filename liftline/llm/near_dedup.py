@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from liftline.llm.common import col, map_frames, texts, written
+from liftline.llm.common import broadcast_if_small, col, map_frames, texts, written
 from liftline.llm.tokens import mixed
 from liftline.llm.words import SHINGLE, words
 
@@ -34,6 +34,8 @@ SKETCHES, PER_SKETCH = 32, 5
 #: The second and third look at large buckets: (sketches, shingles in each).
 LONGER = ((160, 11), (400, 15))
 CENTRES = 3
+#: Rows of eight bytes that may be broadcast; beyond that the join shuffles.
+BROADCAST_ROWS = 1_000_000
 SMALL = 24
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -111,12 +113,14 @@ def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
 
 
 def _sequences(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, check, n, words): ``words`` as 32-bit hashes; ``node`` and ``check`` stand for the sequence; NULL node: no words."""
-    each = docs.select("doc_id", words(F.col("text")).alias("w"))
+    """(doc_id, tie, node, check, n, words), stored: texts are cut into words once. ``words`` are 32-bit hashes, ``tie`` is the
+    hash of the text; ``node`` and ``check`` stand for the sequence; NULL node: no words."""
+    each = docs.select("doc_id", F.xxhash64("text").alias("tie"), words(F.col("text")).alias("w"))
     h = F.transform("w", lambda x: F.hash(x))
-    named = each.select("doc_id", F.size("w").alias("n"), h.alias("words"))
+    named = each.select("doc_id", "tie", F.size("w").alias("n"), h.alias("words"))
     node = F.when(F.col("n") > 0, F.xxhash64("words", F.lit(1)))
-    return named.select("doc_id", node.alias("node"), F.xxhash64("words", F.lit(2)).alias("check"), "n", "words")
+    found = named.select("doc_id", "tie", node.alias("node"), F.xxhash64("words", F.lit(2)).alias("check"), "n", "words")
+    return written(found, "sequences")
 
 
 def _buckets(sequences: DataFrame, sketches: int, per_sketch: int) -> DataFrame:
@@ -129,7 +133,7 @@ def _buckets(sequences: DataFrame, sketches: int, per_sketch: int) -> DataFrame:
             yield pd.DataFrame({"node": np.repeat(once["node"].to_numpy(), [len(x) for x in found]), "bucket": np.concatenate(found)})
 
     long = sequences.where(F.col("n") >= SHINGLE).select("node", "words")
-    return map_frames(long, sketched, "node long, bucket long")
+    return written(map_frames(long, sketched, "node long, bucket long"), "sketches")
 
 
 def _shared(buckets: DataFrame) -> DataFrame:
@@ -191,15 +195,16 @@ def _open(shared: DataFrame, groups: DataFrame) -> DataFrame:
 
 def links(sequences: DataFrame) -> DataFrame:
     """(a, b): similar nodes, enough of them to connect every group of similar texts."""
-    contents = sequences.where(F.col("n") >= SHINGLE).groupBy("node").agg(F.first("words").alias("words"))
-    found = None
+    found = needed = None
     pool = sequences
     for level, (sketches, per_sketch) in enumerate([(SKETCHES, PER_SKETCH), *LONGER]):
         shared = _shared(_buckets(pool, sketches, per_sketch))
         pairs = written(_star_pairs(shared), "pairs")
         known = found
-        used = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        needed = written(contents.join(used, "node", "left_semi"), "contents")
+        if needed is None:  # later levels look at some of these again
+            used = written(shared.select("node").distinct(), "nodes")
+            some = sequences.join(broadcast_if_small(used, BROADCAST_ROWS), "node", "left_semi")
+            needed = written(some.dropDuplicates(["node"]).select("node", "n", "words"), "contents")
         more = written(_verified(pairs, needed), "links")
         found = more if known is None else known.unionByName(more)
         rest = written(_open(shared, components(found)), "open")
@@ -213,7 +218,7 @@ def links(sequences: DataFrame) -> DataFrame:
         large = written(rest.where(F.col("members") > SMALL).select("node").distinct(), "large")
         if last or large.isEmpty():
             break
-        pool = sequences.join(large, "node", "left_semi")
+        pool = needed.join(large, "node", "left_semi")
     return found
 
 
@@ -223,10 +228,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = texts(docs, id_col, text_col)
     sequences = _sequences(rows)
     groups = components(links(sequences))
-    tied = rows.select("doc_id", F.xxhash64("text").alias("tie"), words(F.col("text")).alias("w"))
-    tied = tied.withColumn("h", F.transform("w", lambda x: F.hash(x)))
-    node = F.when(F.size("w") > 0, F.xxhash64("h", F.lit(1)))
-    named = tied.select("doc_id", "tie", node.alias("node"), F.xxhash64("h", F.lit(2)).alias("check"))
+    named = sequences.select("doc_id", "tie", "node", "check")
     # two sequences that meet in ``node`` by chance are told apart by ``check``: only the first is in the graph
     one = named.where("node IS NOT NULL").groupBy("node", "check").agg(F.min("doc_id").alias("first"))
     real = one.groupBy("node").agg(F.min("check").alias("real"))
