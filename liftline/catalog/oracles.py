@@ -5,15 +5,87 @@ from __future__ import annotations
 import math
 import re
 
-from liftline.operators.decisions import (
-    DICTIONARY,
-    PVALUE_MITIGATE,
-    PVALUE_ROLLOUT,
-    PVALUE_STOP,
-    TOLERANCE_HOLD,
-    TOLERANCE_ROLLOUT,
-    TOLERANCE_STOP,
+# Decision texts and the metric dictionary, as the results must hold them.
+PVALUE_ROLLOUT = (
+    'Recommend staged rollout of treatment onboarding (10% -> 50% -> 100%) with guardrail monitoring.'
 )
+PVALUE_MITIGATE = (
+    'Do not fully roll out yet; primary improved but guardrail risks require mitigation and follow-up test.'
+)
+PVALUE_STOP = 'Do not roll out treatment yet; primary metric did not meet decision threshold.'
+TOLERANCE_ROLLOUT = [
+    'Proceed with staged rollout',
+    'The treatment improved 7-day activation and guardrail shifts remained within acceptable operating thresholds.',
+    'Roll out 10% -> 50% -> 100% with daily monitoring and rollback triggers.',
+]
+TOLERANCE_HOLD = [
+    'Hold full rollout and mitigate risk',
+    'Activation improved, but at least one guardrail exceeded tolerance.',
+    'Address guardrail risk drivers, then rerun a targeted validation test.',
+]
+TOLERANCE_STOP = [
+    'Do not roll out treatment yet',
+    'Primary activation outcome did not improve versus control.',
+    'Iterate onboarding design and retest.',
+]
+DICTIONARY = [
+    (
+        'activated_within_7d',
+        '7-Day Activation Rate',
+        'Primary Outcome',
+        'Share of new users who complete onboarding and book their first session within 7 days.',
+        'Captures early conversion from signup to meaningful product use.',
+        'Higher',
+    ),
+    (
+        'retained_d7',
+        'Day-7 Retention',
+        'Secondary Outcome',
+        'Share of users who return to the app on or after day 7.',
+        'Signals short-term habit formation after onboarding.',
+        'Higher',
+    ),
+    (
+        'retained_d30',
+        'Day-30 Retention',
+        'Secondary Outcome',
+        'Share of users who return to the app on or after day 30.',
+        'Reflects medium-term user stickiness.',
+        'Higher',
+    ),
+    (
+        'cancelled_30d',
+        '30-Day Cancellation Rate',
+        'Guardrail',
+        'Share of users who cancel within 30 days of signup.',
+        'Ensures growth is not coming from poor-fit or low-quality starts.',
+        'Lower',
+    ),
+    (
+        'time_to_first_match_hours',
+        'Time to First Match (hours)',
+        'Guardrail',
+        'Average hours between signup and first therapist match.',
+        'Long wait times can hurt trust and downstream retention.',
+        'Lower',
+    ),
+    (
+        'support_tickets_30d',
+        'Support Tickets per User (30D)',
+        'Guardrail',
+        'Average number of support tickets per user in first 30 days.',
+        'Tracks friction introduced by product changes.',
+        'Lower',
+    ),
+    (
+        'noncompliance_flag',
+        'Noncompliance Rate',
+        'Design Integrity',
+        'Share of users whose assigned experience differs from what they actually saw.',
+        'Higher noncompliance weakens confidence in treatment effect estimates.',
+        'Lower',
+    ),
+]
 
 # --- warehouse tables ---------------------------------------------------------------------------
 
@@ -666,6 +738,13 @@ def oracle_sql() -> dict[str, str]:
         """SELECT * REPLACE (pre_treatment_sessions_30d::INTEGER AS pre_treatment_sessions_30d) FROM dim_users""",
     )
     q["events_through_parquet"] = _with(PRODUCT, "SELECT * FROM fact_events")
+    q["users_through_stored_upsert"] = q["users_through_csv"]
+    q["required_inputs"] = _with(
+        PRODUCT,
+        """SELECT 'dim_users' AS table_name, count(*) AS row_count FROM dim_users
+        UNION ALL SELECT 'fact_matches', count(*) FROM fact_matches
+        UNION ALL SELECT t, NULL FROM (VALUES ('fact_events'), ('fact_cancellations'), ('fact_support_tickets')) AS m(t)""",
+    )
     q["input_row_counts"] = _with(
         PRODUCT,
         " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _KEYS),

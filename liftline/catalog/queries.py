@@ -27,6 +27,7 @@ from liftline.operators import (
     user_metrics as um,
 )
 from liftline.params import CUPED_METRICS, METRICS
+from liftline.schemas import READOUT_INPUTS
 from liftline.session import scratch_path
 from liftline.sources import files, upsert as up, views
 from liftline.sources.spoiled import spoiled_tables
@@ -100,6 +101,27 @@ def events_through_parquet(spark, sf):
     return files.read_tables(spark, root, ["fact_events"])["fact_events"]
 
 
+def users_through_stored_upsert(spark, sf):
+    """Half of the users stored with another country, then all of them upserted and read back."""
+    root = scratch_path(spark, "warehouse")
+    users = product_tables(spark, sf)["dim_users"]
+    up.upsert_tables(spark, root, {"dim_users": users.where("user_id % 2 = 0").withColumn("country", F.lit("XX"))})
+    up.upsert_tables(spark, root, {"dim_users": users}, check=quality.require_constraints)
+    return files.read_tables(spark, root, ["dim_users"])["dim_users"]
+
+
+def required_inputs(spark, sf):
+    """Which inputs of a readout a folder lacks that holds users and matches only."""
+    root = scratch_path(spark, "inputs")
+    tables = product_tables(spark, sf)
+    for name in ("dim_users", "fact_matches"):
+        files.write_table(tables[name], files.table_path(root, name, "parquet"))
+    missing = files.missing_inputs(spark, root, READOUT_INPUTS)
+    counts = files.row_counts({n: files.read_table(spark, root, n) for n in READOUT_INPUTS if n not in missing})
+    lacking = spark.createDataFrame([(n,) for n in missing], "table_name string")
+    return counts.unionByName(lacking, allowMissingColumns=True)
+
+
 def input_row_counts(spark, sf):
     return files.row_counts(product_tables(spark, sf))
 
@@ -678,6 +700,8 @@ def labelled_results(spark, sf):
 
 QUERIES: list[Query] = [
     users_through_csv,
+    users_through_stored_upsert,
+    required_inputs,
     events_through_parquet,
     input_row_counts,
     analysis_input,

@@ -179,6 +179,32 @@ def require_quality(users: DataFrame, events: DataFrame, exp: Experiment = Exper
         raise QualityError("; ".join(f"{r['check']}={r['value']}" for r in failed))
 
 
+def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """(rule, violations) of everything the warehouse schema forbids, one row per rule that is broken."""
+    nulls = null_violations(tables).select(F.concat_ws(" ", "table_name", "column_name", F.lit("is missing")).alias("rule"), "violations")
+    keys = primary_key_violations(tables).select(
+        F.concat_ws(" ", "table_name", "key_column", F.lit("repeats")).alias("rule"), F.col("surplus_rows").alias("violations")
+    )
+    found = [nulls, keys]
+    if any(TABLES[name].references for name in tables):
+        found.append(
+            foreign_key_violations(tables).select(
+                F.concat_ws(" ", "table_name", "column_name", F.lit("is not in"), "references_table").alias("rule"),
+                F.col("orphan_rows").alias("violations"),
+            )
+        )
+    if any(TABLES[name].checks for name in tables):
+        found.append(domain_violations(tables).select(F.concat_ws(" ", "table_name", "rule").alias("rule"), "violations"))
+    return _union(found).where("violations > 0")
+
+
+def require_constraints(tables: dict[str, DataFrame]) -> None:
+    """Raise with every broken rule; there are at most as many as the schema has."""
+    broken = constraint_violations(tables).orderBy("rule").collect()
+    if broken:
+        raise QualityError("; ".join(f"{r['rule']}: {r['violations']}" for r in broken))
+
+
 def duplicate_event_rate(events: DataFrame) -> DataFrame:
     """Share of rows whose (user, name, time) occurs more than once, counting every copy."""
     return (

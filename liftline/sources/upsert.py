@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -48,14 +49,33 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
+def recover(spark: SparkSession, root: str, fmt: str = "parquet") -> list[str]:
+    """Take back a swap that never ended: tables moved aside return to their place. Gives their names."""
+    fs, hadoop_path = _file_system(spark, root)
+    back = []
+    for run in fs.listStatus(hadoop_path(f"{root}/_previous")) if fs.exists(hadoop_path(f"{root}/_previous")) else []:
+        for name in TABLES:
+            old, live = table_path(run.getPath().toString(), name, fmt), table_path(root, name, fmt)
+            if fs.exists(hadoop_path(old)):
+                fs.delete(hadoop_path(live), True)
+                fs.rename(hadoop_path(old), hadoop_path(live))
+                back.append(name)
+        fs.delete(run.getPath(), True)
+    fs.delete(hadoop_path(f"{root}/_staged"), True)
+    return back
+
+
 def upsert_tables(
-    spark: SparkSession, root: str, batch: dict[str, DataFrame], fmt: str = "parquet"
+    spark: SparkSession, root: str, batch: dict[str, DataFrame], fmt: str = "parquet",
+    check: Callable[[dict[str, DataFrame]], None] | None = None,
 ) -> None:
     """Upsert several stored tables together.
 
     Every merged table is first written beside the stored ones; only when all of them are complete
-    are the folders swapped, and a failed swap puts back what was moved.
+    are the folders swapped, and a failed swap puts back what was moved. ``check`` sees all tables as they would be
+    and may raise; then nothing changes. A swap that died with its driver is taken back first.
     """
+    recover(spark, root, fmt)
     for name, incoming in batch.items():
         key = TABLES[name].key
         if not repeated_keys(incoming, [key]).isEmpty():
@@ -68,6 +88,10 @@ def upsert_tables(
     staged, previous = f"{root}/_staged/{run}", f"{root}/_previous/{run}"
     try:
         _write_merged(spark, root, batch, staged, fmt)
+        if check:
+            kept = [n for n in TABLES if n not in batch and not missing_inputs(spark, root, [n], fmt)]
+            new = {n: read_table(spark, staged, n, fmt) for n in batch}
+            check({n: read_table(spark, root, n, fmt) for n in kept} | new)
     except Exception:
         fs.delete(hadoop_path(staged), True)
         raise
@@ -85,7 +109,8 @@ def _write_merged(spark: SparkSession, root: str, batch: dict[str, DataFrame], s
         else:
             defaults = {c: F.localtimestamp() for c in spec.optional}
             merged = upsert(read_table(spark, root, name, fmt), incoming, [spec.key], defaults)
-        merged.select(*spec.schema.fieldNames()).write.format(fmt).save(table_path(staged, name, fmt))
+        declared = [F.col(f.name).cast(f.dataType) for f in spec.schema.fields]
+        merged.select(*declared).write.format(fmt).save(table_path(staged, name, fmt))
 
 
 def _swap(fs, hadoop_path, root: str, names: list[str], staged: str, previous: str, fmt: str) -> None:

@@ -121,6 +121,7 @@ def test_poisson_weights_have_mean_and_variance_one():
     assert (p * k * k).sum() - 1 == pytest.approx(1, abs=1e-6)
 
 
+# The small vectors below are those of known worked examples.
 def test_benjamini_hochberg(spark, rows):
     p = [0.04, 0.002, 0.3, 0.01, 0.2]
     df = spark.createDataFrame([("f", f"m{i}", x) for i, x in enumerate(p)], "family string, metric string, p_value double")
