@@ -155,9 +155,7 @@ def pack(
 
     def frame(out: list[tuple]) -> pd.DataFrame:
         done = pd.DataFrame(out, columns=schema.names)
-        if done["doc_id"].hasnans:
-            done["doc_id"] = pd.Series([r[0] if r[0] == r[0] else None for r in out], dtype=object)
-        return done
+        return done.assign(doc_id=pd.Series([r[0] if r[0] == r[0] else None for r in out], dtype=object))
 
     # whole ids: a NULL would turn a block of long ids into doubles
     as_text = rows.selectExpr("CAST(doc_id AS STRING) AS doc_id", "text").sortWithinPartitions("doc_id", "text")

@@ -343,7 +343,9 @@ def dedupe(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_c
                 kept = b"".join(raw[x:y] for x, y in zip([0, *b.tolist()], [*a.tolist(), len(raw)]))
                 runs = [{"start": x, "end": y} for x, y in zip(a.tolist(), b.tolist())]
                 out.append((doc_id, len(raw), int((b - a).sum()), runs, kept))
-            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+            if out:
+                done = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+                yield done.assign(doc_id=pd.Series([r[0] for r in out], dtype=object))
 
     schema = "doc_id string, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
     done = map_frames(both.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "spans"), cut, schema)

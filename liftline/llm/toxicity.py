@@ -156,7 +156,9 @@ def _counted(sample: DataFrame, terms_of) -> DataFrame:
             for text, y in zip(frame["text"], frame["y"]):
                 found[y].update(terms_of(folded(text)))
             terms = list(found[0].keys() | found[1].keys())
-            yield pd.DataFrame({"term": terms, "bad": [found[1][t] for t in terms], "good": [found[0][t] for t in terms]})
+            if terms:
+                named = pd.Series(terms, dtype=object)
+                yield pd.DataFrame({"term": named, "bad": [found[1][t] for t in terms], "good": [found[0][t] for t in terms]})
 
     each = map_frames(sample, counts, "term string, bad long, good long")
     return each.groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
