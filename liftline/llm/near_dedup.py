@@ -8,8 +8,8 @@ for m shingles aligned in order out of a and b; alignment looks only as far off
 Equal word sequences are one node of the graph, whatever the number of copies. Within a bucket every node is compared with
 ``CENTRES`` nodes of it, not with all: groups of copies are tied together by few pairs. Where a bucket then still holds several
 components, all pairs across them are compared if there are few (``SMALL``); the members of a larger bucket, typically texts
-that share a long passage, are sketched again with ``LONGER`` shingles at a time, where chance agreement vanishes, and so on
-once more. Components are found by alternating star contraction, checkpointed each round.
+that share a long passage, are sketched again with ``LONGER`` shingles at a time, where chance agreement all but vanishes, and then
+compared across components whatever their number. Components are found by alternating star contraction, checkpointed each round.
 
 Defined results: every row gets a class, the smallest id in its group; texts of fewer than five words are grouped only if
 their words are equal; texts without words (NULL or empty) are their own class; a NULL id is in a class like any other and is never
@@ -31,12 +31,12 @@ from liftline.llm.words import SHINGLE, words
 
 SIMILARITY = 0.8
 SKETCHES, PER_SKETCH = 32, 5
-#: The second and third look at large buckets: (sketches, shingles in each).
-LONGER = ((160, 11), (400, 15))
-CENTRES = 3
+#: Further looks at large buckets: (sketches, shingles in each).
+LONGER = ((160, 11),)
+CENTRES = 2
 #: Rows of eight bytes that may be broadcast; beyond that the join shuffles.
 BROADCAST_ROWS = 1_000_000
-SMALL = 24
+SMALL = 32
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -165,9 +165,16 @@ def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     return map_frames(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right"), kept, "a long, b long")
 
 
+def _digest(edges: DataFrame) -> tuple:
+    """What tells two sets of edges apart: their number and two sums of hashes."""
+    sums = [F.sum(F.xxhash64("u", "v", F.lit(k)).cast("decimal(38,0)")) for k in range(2)]
+    return tuple(edges.agg(F.count(F.lit(1)), *sums).first())
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node each is connected with, for every node of ``links`` (a, b)."""
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    state = _digest(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -177,9 +184,10 @@ def components(links: DataFrame) -> DataFrame:
         joined = large.join(low, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         small = written(small.where("u <> v").distinct(), "edges")
-        if small.exceptAll(edges).isEmpty() and edges.exceptAll(small).isEmpty():
-            break
+        before, state = state, _digest(small)
         edges = small
+        if state == before:
+            break
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return written(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots).distinct(), "components")
 
