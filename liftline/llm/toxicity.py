@@ -28,7 +28,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from liftline.llm.common import col, map_frames, ship_package, texts, written
-from liftline.llm.words import shingle_hashes, word_hashes
 
 PER_LABEL = 6_000
 TERMS = 2_000
@@ -136,15 +135,14 @@ def curve_of(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1e-2
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, usable: Column, per_label: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(text, y): at most ``per_label`` labelled documents of each class, stored. Only ids of the sample are broadcast. Of texts
-    that share one of three minima of their hashed word shingles, near copies as a rule, the smallest id stays: else
-    the words of a text copied often would look typical of its class."""
+    """(text, y): at most ``per_label`` labelled documents of each class, stored. Only ids of the sample are broadcast. Equal
+    texts are one row, of the largest label: else the words of a text copied often would look typical of its class."""
     marks = labels.select(col("doc_id").alias("doc_id"), col(label).alias("y")).where(usable & F.col("y").isNotNull())
     one = marks.groupBy("doc_id").agg(F.max("y").cast("int").alias("y"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = one.where("y = 1").orderBy(*order).limit(per_label).union(one.where("y = 0").orderBy(*order).limit(per_label))
     rows = texts(docs, id_col, text_col)
-    return written(rows.join(F.broadcast(chosen), "doc_id").dropDuplicates(["text"]).select("text", "y"), "labelled")
+    return written(rows.join(F.broadcast(chosen), "doc_id").groupBy("text").agg(F.max("y").alias("y")), "labelled")
 
 
 def _counted(sample: DataFrame, terms_of) -> DataFrame:
