@@ -7,7 +7,7 @@ import re
 import pytest
 from conftest import SIGNUP
 
-from liftline.operators import ab_tests, cuped, events as ev, user_metrics as um
+from liftline.operators import ab_tests, bootstrap, cuped, events as ev, moments, user_metrics as um
 from liftline.params import Bootstrap, Experiment
 from liftline.sources import files
 
@@ -145,3 +145,20 @@ def test_hot_users_events_are_split_when_joined_to_users(spark, settings):
     joined = ev.events_with_signup(events, users)
     assert len(joined.collect()) == 90000
     assert "SortMergeJoin(skew=true)" in plan(joined).split("Initial Plan")[0]
+
+
+def test_segment_replicates_use_all_tasks_of_a_shuffle(spark):
+
+    users = spark.range(4_000).selectExpr(
+        "id AS user_id", "IF(id % 2 = 0, 'control', 'treatment') AS assigned_variant", "CAST(id % 3 = 0 AS INT) AS y",
+        "CAST(id % 2000 AS STRING) AS segment_value",
+    )
+    boot = Bootstrap(replicates=8, buckets=4)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        cells = moments.bucket_cells(users, ["y"], boot, ["segment_value"])
+        plan = bootstrap.replicate_sums(cells, ["n_y", "sy_y"], boot, ["segment_value"])._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert "RepartitionByExpression" in plan and ", 37" in plan
