@@ -148,7 +148,6 @@ def test_hot_users_events_are_split_when_joined_to_users(spark, settings):
 
 
 def test_segment_replicates_use_all_tasks_of_a_shuffle(spark):
-
     users = spark.range(4_000).selectExpr(
         "id AS user_id", "IF(id % 2 = 0, 'control', 'treatment') AS assigned_variant", "CAST(id % 3 = 0 AS INT) AS y",
         "CAST(id % 2000 AS STRING) AS segment_value",
