@@ -8,8 +8,8 @@ for m shingles aligned in order out of a and b; alignment looks only as far off
 Equal word sequences are one node of the graph, whatever the number of copies. Within a bucket every node is compared with
 ``CENTRES`` nodes of it, not with all: groups of copies are tied together by few pairs. Where a bucket then still holds several
 components, all pairs across them are compared if there are few (``SMALL``); the members of a larger bucket, typically texts
-that share a long passage, are sketched again with ``LONGER`` shingles at a time, where chance agreement all but vanishes, and then
-compared across components whatever their number. Components are found by alternating star contraction, checkpointed each round.
+that share a long passage, are sketched again with ``LONGER`` shingles at a time, where chance agreement all but vanishes, and after the last
+look compared across components whatever their number. Components are found by alternating star contraction, checkpointed each round.
 
 Defined results: every row gets a class, the smallest id in its group; texts of fewer than five words are grouped only if
 their words are equal; texts without words (NULL or empty) are their own class; a NULL id is in a class like any other and is never
@@ -32,7 +32,7 @@ from liftline.llm.words import SHINGLE, words
 SIMILARITY = 0.8
 SKETCHES, PER_SKETCH = 32, 5
 #: Further looks at large buckets: (sketches, shingles in each).
-LONGER = ((160, 11),)
+LONGER = ((160, 11), (400, 15))
 CENTRES = 2
 #: Rows of eight bytes that may be broadcast; beyond that the join shuffles.
 BROADCAST_ROWS = 1_000_000
