@@ -2,12 +2,13 @@
 
 A byte-level vocabulary is applied to each word-like piece by itself. The pieces of a block of texts are found
 with array operations, each distinct piece is encoded once by the library, and the ids are gathered back.
-Vocabularies of another kind are passed to the library text by text.
+Parts that hold the literal of an added token, and vocabularies of another kind, are passed to the library as they are.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import repeat
@@ -67,15 +68,18 @@ class TokenEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             kind = json.load(f)
+        added = kind.get("added_tokens") or []
+        self.literals = [x["content"] for x in added]
         pre = kind.get("pre_tokenizer") or {}
         self.by_piece = (
             pre.get("type") == "ByteLevel"
             and pre.get("use_regex", True)
             and not pre.get("add_prefix_space", True)
             and not kind.get("normalizer")
+            # a long text is cut before white space: no literal may hold or take any
+            and not any(x.get("lstrip") or x.get("rstrip") or x.get("single_word") or re.search(r"\s", x["content"]) for x in added)
             and len(self.library.encode("\n", add_special_tokens=False).ids) == 1
         )
         if self.by_piece:
@@ -223,7 +227,17 @@ class TokenEncoder:
         def flush() -> None:
             nonlocal held
             if parts:
+                special = [k for k, p in enumerate(parts) if any(x in p for x in self.literals)]
+                whole = self.library.encode_batch_fast([parts[k] for k in special], add_special_tokens=False)
+                for k in special:
+                    parts[k] = ""
                 ids, sizes = self.block(parts)
+                if special:
+                    pieces = np.split(ids, np.cumsum(sizes)[:-1])
+                    for k, x in zip(special, whole):
+                        pieces[k] = np.array(x.ids, np.uint32)
+                        sizes[k] = len(x.ids)
+                    ids = np.concatenate(pieces)
                 out.append(ids)
                 np.add.at(counts, owners, sizes)
                 parts.clear()

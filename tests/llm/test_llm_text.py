@@ -41,6 +41,22 @@ def test_ids_equal_those_of_the_library(monkeypatch):
         assert [p.tolist() for p in parts_of] == [w.ids for w in want]
 
 
+def test_added_tokens_keep_their_ids(monkeypatch):
+    from tokenizers import Tokenizer
+
+    library, literal = Tokenizer.from_file(TOKENIZER), "<|endoftext|>"
+    rnd = random.Random(7)
+    parts = [literal, literal, literal[:-1], " ", "\n", "see", "it's", "日本", "<|", "|>"]
+    texts = [f"see {literal} here", literal, literal * 2, f" {literal} ", "", f"{literal}\n\n x"]
+    texts += ["".join(rnd.choice(parts) for _ in range(rnd.randrange(60))) for _ in range(1_000)]
+    for block in (tokens.BLOCK, 50):
+        monkeypatch.setattr(tokens, "BLOCK", block)
+        ids, counts = tokens.TokenEncoder(TOKENIZER).encode(texts)
+        got = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+        assert got[0] == [3826, 220, 50256, 994]
+        assert got == [x.ids for x in library.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 def test_other_vocabularies_go_to_the_library():
     own = tokens.TokenEncoder(public_tokenizers.path("word_bpe_49k.json"))
     assert not own.by_piece
