@@ -33,6 +33,10 @@ SIMILARITY = 0.8
 SKETCHES, PER_SKETCH = 32, 5
 #: Further looks at large buckets: (sketches, shingles in each).
 LONGER = ((160, 11), (400, 15))
+#: Texts of up to ``EXACT`` shingles meet by prefixes, those of ``LONG`` or more by sketches: no similar pair lies astride the two.
+EXACT, LONG = 125, 100
+#: Counters by which shingles are ordered from rare to common; any order is exact.
+SLOTS, CHUNK = 1 << 20, 1 << 12
 CENTRES = 2
 #: Rows of eight bytes that may be broadcast; beyond that the join shuffles.
 BROADCAST_ROWS = 1_000_000
@@ -48,17 +52,25 @@ def shingle_values(word_hashes: np.ndarray, n: int = SHINGLE) -> np.ndarray:
     return mixed(reduce(lambda a, k: a * ODD + w[k : len(w) - n + 1 + k], range(1, n), w[: len(w) - n + 1]))
 
 
-def order_sketch(shingles: np.ndarray, sketches: int, per_sketch: int) -> np.ndarray:
-    """Bucket numbers of a sequence of shingles; none for an empty one."""
+def labelled_values(shingles: np.ndarray) -> np.ndarray:
+    """Each shingle with how often it occurred before, as one value: all differ."""
     n = len(shingles)
     if not n:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64)
     order = np.argsort(shingles, kind="stable")
     ranked = shingles[order]
     first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
     seen = np.empty(n, np.uint64)
     seen[order] = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
-    labelled = mixed(shingles + seen * ODD)
+    return mixed(shingles + seen * ODD)
+
+
+def order_sketch(shingles: np.ndarray, sketches: int, per_sketch: int) -> np.ndarray:
+    """Bucket numbers of a sequence of shingles; none for an empty one."""
+    n = len(shingles)
+    if not n:
+        return np.zeros(0, np.int64)
+    labelled = labelled_values(shingles)
     take = min(per_sketch, n)
     out = []
     step = max(1, 2_000_000 // n)
@@ -72,6 +84,14 @@ def order_sketch(shingles: np.ndarray, sketches: int, per_sketch: int) -> np.nda
     return np.concatenate(out)
 
 
+def prefix(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The labelled shingles, rare ones first, of which every similar sequence's prefix has one: all but as many as must be shared, and one."""
+    labelled = labelled_values(shingles)
+    n = len(labelled)
+    order = np.lexsort((labelled, counts[labelled % np.uint64(len(counts))]))
+    return labelled[order[: n - int(np.ceil(SIMILARITY * n - 1e-9)) + 1 if n else 0]]
+
+
 def aligned(a: np.ndarray, b: np.ndarray, band: int) -> int:
     """The longest common subsequence of two sequences within ``band`` of the diagonal: one row of bits per element of ``b``."""
     n = min(len(a), len(b))
@@ -136,8 +156,55 @@ def _buckets(sequences: DataFrame, sketches: int, per_sketch: int) -> DataFrame:
     return written(map_frames(long, sketched, "node long, bucket long"), "sketches")
 
 
+def _counts(sequences: DataFrame) -> np.ndarray:
+    """How many labelled shingles of short texts fall in each slot: a few megabytes, whatever the input."""
+
+    def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(SLOTS, np.int64)
+        for frame in frames:
+            found = [labelled_values(shingle_values(np.asarray(w))) for w in frame.drop_duplicates("node")["words"]]
+            values, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]) % np.uint64(SLOTS), return_counts=True)
+            total[values.astype(np.int64)] += n
+        some = [k for k in range(SLOTS // CHUNK) if total[k * CHUNK : (k + 1) * CHUNK].any()]
+        yield pd.DataFrame({"chunk": some, "counts": [total[k * CHUNK : (k + 1) * CHUNK].tobytes() for k in some]})
+
+    def added(frame: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(x, np.int64) for x in frame["counts"])
+        return pd.DataFrame({"chunk": frame["chunk"].iloc[:1], "counts": [total.tobytes()]})
+
+    schema = "chunk long, counts binary"
+    parts = map_frames(_short(sequences), counted, schema).groupBy("chunk").applyInPandas(added, schema)
+    out = np.zeros(SLOTS, np.int64)
+    for r in parts.collect():
+        out[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counts"], np.int64)
+    return out
+
+
+def _short(sequences: DataFrame) -> DataFrame:
+    return sequences.where(F.col("n").between(SHINGLE, EXACT + SHINGLE - 1)).select("node", "words")
+
+
+def _prefixes(sequences: DataFrame) -> DataFrame:
+    """(node, size, bucket, place): the prefix of every short sequence, once per node and task at least."""
+    shared = sequences.sparkSession.sparkContext.broadcast(_counts(sequences))
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            once = frame.drop_duplicates("node")
+            found = [prefix(shingle_values(np.asarray(w)), shared.value).view(np.int64) for w in once["words"]]
+            lengths = [len(x) for x in found]
+            yield pd.DataFrame({
+                "node": np.repeat(once["node"].to_numpy(), lengths),
+                "size": np.repeat(np.array([len(w) - SHINGLE + 1 for w in once["words"]], np.int64), lengths),
+                "bucket": np.concatenate([np.zeros(0, np.int64), *found]),
+                "place": np.concatenate([np.zeros(0, np.int64), *map(np.arange, lengths)]),
+            })
+
+    return written(map_frames(_short(sequences), cut, "node long, size long, bucket long, place long"), "prefixes")
+
+
 def _shared(buckets: DataFrame) -> DataFrame:
-    """(bucket, node) where at least two nodes share the bucket."""
+    """The rows (bucket, node, ...) where at least two nodes share the bucket."""
     ends = buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     return written(buckets.join(ends.select("bucket"), "bucket").distinct(), "buckets")
 
@@ -193,36 +260,53 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _open(shared: DataFrame, groups: DataFrame) -> DataFrame:
-    """(bucket, node, component, n): members of the buckets that hold several components, and how many members there are."""
+    """The rows (bucket, node, ...) of the buckets that hold several components, with the component, how many members there are, and
+    whether the row lies outside the bucket's largest component."""
     named = shared.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    ends = named.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")
+    sizes = named.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("k"))
+    ends = sizes.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("parts"), F.sum("k").alias("members"), F.max_by("component", F.struct("k", "component")).alias("main")
     )
-    return named.join(ends.where("low <> high").select("bucket", "members"), "bucket")
+    return named.join(ends.where("parts > 1"), "bucket").withColumn("outside", F.col("component") != F.col("main")).drop("parts", "main")
+
+
+def _across(rows: DataFrame) -> DataFrame:
+    """(a, b), a < b: pairs of one bucket in different components. Rows with a place in a prefix meet only where the prefixes that a
+    pair of their sizes must share reach so far."""
+    columns = [c for c in ("component", "outside", "size", "place") if c in rows.columns]
+    left = rows.where("outside").select("bucket", F.col("node").alias("x"), *[F.col(c).alias(f"{c}_x") for c in columns])
+    right = rows.select("bucket", F.col("node").alias("y"), *[F.col(c).alias(f"{c}_y") for c in columns])
+    able = (F.col("component_x") != F.col("component_y")) & (~F.col("outside_y") | (F.col("x") < F.col("y")))
+    if "place" in columns:
+        need = F.ceil((F.col("size_x") + F.col("size_y")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-9)
+        able &= (F.col("place_x") + need <= F.col("size_x")) & (F.col("place_y") + need <= F.col("size_y"))
+    met = left.withColumnRenamed("bucket", "at").join(right, (F.col("at") == F.col("bucket")) & able)
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def links(sequences: DataFrame) -> DataFrame:
     """(a, b): similar nodes, enough of them to connect every group of similar texts."""
+    close = _shared(_prefixes(sequences))
     found = needed = None
     pool = sequences
     for level, (sketches, per_sketch) in enumerate([(SKETCHES, PER_SKETCH), *LONGER]):
         shared = _shared(_buckets(pool, sketches, per_sketch))
-        pairs = written(_star_pairs(shared), "pairs")
+        every = shared if level else shared.unionByName(close.select(shared.columns))
+        pairs = written(_star_pairs(every), "pairs")
         known = found
         if needed is None:  # later levels look at some of these again
-            used = written(shared.select("node").distinct(), "nodes")
+            used = written(every.select("node").distinct(), "nodes")
             some = sequences.join(broadcast_if_small(used, BROADCAST_ROWS), "node", "left_semi")
             needed = written(some.dropDuplicates(["node"]).select("node", "n", "words"), "contents")
         more = written(_verified(pairs, needed), "links")
         found = more if known is None else known.unionByName(more)
-        rest = written(_open(shared, components(found)), "open")
+        groups = components(found)
+        rest = written(_open(shared, groups), "open")
         last = level == len(LONGER)
-        few = rest if last else rest.where(F.col("members") <= SMALL)
-        left = few.select("bucket", F.col("node").alias("a"), F.col("component").alias("ca"))
-        right = few.select("bucket", F.col("node").alias("b"), F.col("component").alias("cb"))
-        across = left.join(right, "bucket").where("ca < cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        across = across.distinct().join(pairs, ["a", "b"], "left_anti")
-        found = written(found.unionByName(_verified(across, needed)), "links")
+        across = _across(rest if last else rest.where(F.col("members") <= SMALL))
+        if not level:
+            across = across.unionByName(_across(written(_open(close, groups), "open"))).distinct()
+        found = written(found.unionByName(_verified(across.join(pairs, ["a", "b"], "left_anti"), needed)), "links")
         large = written(rest.where(F.col("members") > SMALL).select("node").distinct(), "large")
         if last or large.isEmpty():
             break

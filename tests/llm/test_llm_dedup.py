@@ -163,3 +163,15 @@ def test_a_large_group_of_near_copies_and_a_shared_passage(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "SMALL", 10)  # so that buckets are sketched again
     got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(documents(spark, rows)).collect()}
     assert got == plain_classes(rows)
+
+
+def test_short_texts_in_a_large_bucket(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SMALL", 10)
+    rows = []
+    for g in range(3):  # two texts of 13 words with 8 of 9 shingles in common, and many that have the 8 among 11
+        core = " ".join(f"core{g}x{k}" for k in range(12))
+        rows += [(1_000 * g + i, f"{core} own{g}x{i}") for i in range(2)]
+        rows += [(1_000 * g + i, f"{core} a{g}x{i} b{g}x{i} c{g}x{i}") for i in range(2, 200)]
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(documents(spark, rows)).collect()}
+    assert got == plain_classes(rows)
+    assert [got[1], got[1_001], got[2_001]] == [0, 1_000, 2_000] and len(set(got.values())) == len(rows) - 3
