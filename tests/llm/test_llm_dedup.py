@@ -175,3 +175,14 @@ def test_short_texts_in_a_large_bucket(spark, monkeypatch):
     got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(documents(spark, rows)).collect()}
     assert got == plain_classes(rows)
     assert [got[1], got[1_001], got[2_001]] == [0, 1_000, 2_000] and len(set(got.values())) == len(rows) - 3
+
+
+def test_short_texts_of_unequal_length(spark):
+    rows = []
+    for g, n in enumerate([8, 9, 12, 13, 40, 100, 103, 104, 105, 110, 128, 129]):  # a fifth of the shingles added, and one more
+        words = [f"word{g}x{k}" for k in range(n)]
+        more = [f"more{g}x{k}" for k in range((n - 4) // 4 + 1)]
+        rows += [(10 * g, " ".join(words)), (10 * g + 1, " ".join(words + more[:-1])), (10 * g + 2, " ".join(more + words))]
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(documents(spark, rows)).collect()}
+    assert got == plain_classes(rows)
+    assert (got[0], got[1], got[2]) == (0, 0, 2)  # 8 words, the same and one more, the same and two more
