@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from liftline.llm import decontaminate, line_dedup, near_dedup, packing, quality, secret_scan, suffix_dedup, token_output, toxicity, vector_search
+from liftline.llm import (
+    decontaminate, line_dedup, merkle, near_dedup, packing, personal_data, quality, secret_scan, suffix_dedup, token_output, toxicity, vector_codes,
+    vector_search,
+)
 from liftline.llm.common import table
 from liftline.session import scratch_path
 
@@ -73,6 +76,20 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digest(personal_data.scan(table(spark, sf_dir, "documents")))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digest(*vector_codes.compress(table(spark, sf_dir, "embeddings")))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    found = merkle.verified(merkle.documents_manifest(table(spark, sf_dir, "documents"), tampered))
+    return found.withColumnRenamed("id", "doc_id").drop("copies")
+
+
 DECONTAMINATION = r"""
 WITH doc_words AS (
   SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents
@@ -110,6 +127,98 @@ FROM marked GROUP BY doc_id
 """
 
 
+def _nearest(k: int) -> str:
+    return f"""
+near{k} AS (
+  SELECT r, parts.p, x, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
+    SELECT r, parts.p, x, e, list_sum(list_transform(list_zip(x, b), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM parts JOIN book{k} USING (p)
+  ) AS parts GROUP BY ALL
+)"""
+
+
+def _book(k: int) -> str:
+    return f"""
+sums{k} AS (
+  SELECT p, e, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM near{k - 1}, (SELECT unnest(range(1, 1025)) AS i) WHERE i <= len(x) GROUP BY ALL
+), means{k} AS (
+  SELECT p, e, list((s - ((s % n + n) % n)) // n ORDER BY i) AS b FROM sums{k} GROUP BY p, e
+), book{k} AS (SELECT p, e, coalesce(m.b, o.b) AS b FROM book{k - 1} AS o LEFT JOIN means{k} AS m USING (p, e))"""
+
+
+VECTOR_CODES = f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT r, p, v[(p * (len(v) // 16) + 1):((p + 1) * (len(v) // 16))] AS x FROM kept, (SELECT unnest(range(16)) AS p)
+), book0 AS (SELECT p, r - 1 AS e, x AS b FROM parts WHERE r <= 64),
+{_nearest(0)}, {_book(1)}, {_nearest(1)}, {_book(2)}, {_nearest(2)},
+named AS (
+  SELECT sha256(string_agg(array_to_string(b, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2
+), coded AS (
+  SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM near2 GROUP BY r
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (r), named
+"""
+
+MANIFEST = r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, source, text, concat(
+      coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-'), coalesce(octet_length(encode(source)) || ':' || source, '-'),
+      coalesce(octet_length(encode(lang)) || ':' || lang, '-'), coalesce(octet_length(encode(n_chars::VARCHAR)) || ':' || n_chars, '-')
+    ) AS head,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS small,
+    -- crc32 of the id as text, eight shifts a byte
+    xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384)))) AS crc
+  FROM documents
+), leaves AS (
+  SELECT *, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(octet_length(encode(small)) || ':' || small, '-')) AS small_leaf,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n
+  FROM fields
+), nodes AS (
+  SELECT source, 0 AS lvl, pos, n, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT source, any_value(lvl) + 1, pos // 16, any_value(n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY source, pos // 16
+), subroots AS (
+  SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS lvl, place AS pos, n, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT any_value(lvl) + 1, pos // 16, any_value(n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY pos // 16
+), runs AS (
+  SELECT 'in ' || coalesce('+' || source, '') AS tree, lvl, pos // 16 AS run, list(digest ORDER BY pos) AS d FROM nodes WHERE n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT 'top', lvl, pos // 16, list(digest ORDER BY pos) FROM tops WHERE n > 1 GROUP BY ALL
+), steps AS (
+  SELECT doc_id, lvl, d, pos // (16 ** lvl)::BIGINT % 16 + 1 AS nth
+  FROM leaves JOIN runs ON tree = 'in ' || coalesce('+' || source, '') AND run = pos // (16 ** (lvl + 1))::BIGINT
+  UNION ALL
+  SELECT doc_id, 100 + lvl, d, place // (16 ** lvl)::BIGINT % 16 + 1
+  FROM leaves JOIN subroots ON leaves.source IS NOT DISTINCT FROM subroots.source JOIN runs ON tree = 'top' AND run = place // (16 ** (lvl + 1))::BIGINT
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY lvl) AS step FROM steps
+), proofs AS (
+  SELECT doc_id, sha256(string_agg(array_to_string(list_concat(d[:nth - 1], d[nth + 1:]), ''), '' ORDER BY step)) AS proof_sha256 FROM numbered GROUP BY doc_id
+), folds AS (
+  SELECT doc_id, 0 AS step, CASE WHEN crc % 5 = 0 THEN small_leaf ELSE leaf END AS digest FROM leaves
+  UNION ALL
+  SELECT doc_id, folds.step + 1, sha256(array_to_string(list_concat(d[:nth - 1], [digest], d[nth + 1:]), ''))
+  FROM folds JOIN numbered USING (doc_id) WHERE numbered.step = folds.step + 1
+), folded AS (SELECT doc_id, arg_max(digest, step) AS folded_root FROM folds GROUP BY doc_id),
+root AS (SELECT digest AS root FROM tops WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN subroots ON leaves.source IS NOT DISTINCT FROM subroots.source LEFT JOIN proofs USING (doc_id) JOIN folded USING (doc_id), root
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_vector_search": op1_vector_search,
@@ -122,8 +231,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_dedup": op8_near_dedup,
         "op9_line_dedup": op9_line_dedup,
         "op10_secret_scan": op10_secret_scan,
+        "op11_personal_data": op11_personal_data,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": DECONTAMINATION, "op9_line_dedup": LINE_DEDUP}
+    return {
+        "op4_decontamination": DECONTAMINATION,
+        "op9_line_dedup": LINE_DEDUP,
+        "op12_vector_codes": VECTOR_CODES,
+        "op13_merkle_manifest": MANIFEST,
+    }
