@@ -609,8 +609,9 @@ _Z_ALPHA, _Z_BETA = 1.9599639845400536, 0.8416212335729144
 def _needed(base: str, lift: str) -> str:
     p1 = f"least(greatest({base}, 1e-6), 1 - 1e-6)"
     p2 = f"least(greatest({base} + {lift}, 1e-6), 1 - 1e-6)"
-    return f"""ceil(pow({_Z_ALPHA}::DOUBLE * sqrt(2 * (({p1} + {p2}) / 2) * (1 - ({p1} + {p2}) / 2))
-        + {_Z_BETA}::DOUBLE * sqrt({p1} * (1 - {p1}) + {p2} * (1 - {p2})), 2) / ({lift} * {lift}))::BIGINT"""
+    # greatest and least skip NULL here: a missing baseline must stay one
+    return f"""CASE WHEN {base} IS NOT NULL THEN ceil(pow({_Z_ALPHA}::DOUBLE * sqrt(2 * (({p1} + {p2}) / 2) * (1 - ({p1} + {p2}) / 2))
+        + {_Z_BETA}::DOUBLE * sqrt({p1} * (1 - {p1}) + {p2} * (1 - {p2})), 2) / ({lift} * {lift}))::BIGINT END"""
 
 
 def _search(source: str, keys: str) -> str:
@@ -1010,7 +1011,7 @@ def oracle_sql() -> dict[str, str]:
     )
     q["detectable_lifts"] = _with(
         f"{_SEGMENT_RATES}, {_search('segment_rates', 'segment_dimension, segment_value')}",
-        f"SELECT segment_dimension, segment_value, {_r('high', 'observed_mde_abs', 9)} FROM search WHERE step = 40",
+        f"SELECT segment_dimension, segment_value, {_r("CASE WHEN control_mean IS NOT NULL THEN high END", "observed_mde_abs", 9)} FROM search WHERE step = 40",
     )
     q["power_table"] = _with(
         f"{_COMMERCE_TESTS}, {_POWER}",

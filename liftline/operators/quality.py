@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -200,11 +201,39 @@ def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
 
 def require_constraints(tables: dict[str, DataFrame]) -> None:
     """Raise with every broken rule; there are at most as many as the schema has."""
-    broken = constraint_violations(tables).orderBy("rule").collect()
+    _require(constraint_violations(tables))
+
+
+def _require(violations: DataFrame) -> None:
+    broken = violations.orderBy("rule").collect()
     if broken:
         raise QualityError("; ".join(f"{r['rule']}: {r['violations']}" for r in broken))
 
 
+Known = Callable[[str, DataFrame, str], DataFrame]
+
+
+def batch_violations(fresh: dict[str, DataFrame], known: Known) -> DataFrame:
+    """The same (rule, violations) for the rows a load writes into tables that were sound before. An upsert keeps keys unique and takes
+    no key away, so only these rows can break a rule. ``known(parent, keys, column)`` gives which keys the parent will have."""
+    nulls = null_violations(fresh).select(F.concat_ws(" ", "table_name", "column_name", F.lit("is missing")).alias("rule"), "violations")
+    found = [nulls]
+    for name, df in fresh.items():
+        for column, (parent, _) in TABLES[name].references.items():
+            counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+            orphans = counted.join(known(parent, counted.select(column), column), column, "left_anti")
+            rule = F.lit(f"{name} {column} is not in {parent}").alias("rule")
+            found.append(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("violations")).select(rule, "violations"))
+    if any(TABLES[name].checks for name in fresh):
+        found.append(domain_violations(fresh).select(F.concat_ws(" ", "table_name", "rule").alias("rule"), "violations"))
+    return _union(found).where("violations > 0")
+
+
+def require_batch(fresh: dict[str, DataFrame], known: Known) -> None:
+    """Raise with every rule that the rows of a load would break."""
+    _require(batch_violations(fresh, known))
+
+
 def duplicate_event_rate(events: DataFrame) -> DataFrame:
     """Share of rows whose (user, name, time) occurs more than once, counting every copy."""
     return (

@@ -21,12 +21,12 @@ READOUTS = {"analysis": analysis_readout, "dashboard": dashboard_readout, "bi":
 
 
 def load(spark: SparkSession, batch: str, warehouse: str, fmt: str = "parquet") -> list[str]:
-    """Upsert every table found in ``batch``; the merged tables must keep all constraints before any is published."""
+    """Upsert every table found in ``batch``; its rows must keep all constraints before any table changes."""
     missing = set(missing_inputs(spark, batch, TABLES, fmt))
     names = [n for n in TABLES if n not in missing]
     if not names:
         raise FileNotFoundError(f"no tables under {batch}")
-    upsert_tables(spark, warehouse, read_tables(spark, batch, names, fmt), check=require_constraints)
+    upsert_tables(spark, warehouse, read_tables(spark, batch, names, fmt), constraints=True)
     return names
 
 
