@@ -407,6 +407,30 @@ def _on_spoiled(select: str) -> str:
     return _with(f"{COMMERCE_TABLES}, {_FAULTS}", re.sub(r"(?<!')\b(dim_users|fact_[a-z_]+)\b(?!')", r"dirty_\1", select))
 
 
+def _batch_violations() -> str:
+    """Broken rules of the odd users and their spoiled facts, where even users are stored sound."""
+    nulls = " UNION ALL ".join(
+        f"SELECT '{t} {c} is missing' AS rule, count(*) - count({c}) AS violations FROM batch_{t}"
+        for t in ("dim_users", "fact_subscriptions", "fact_cancellations", "fact_matches")
+        for c in _REQUIRED[t]
+    )
+    references = " UNION ALL ".join(
+        f"""SELECT '{t} user_id is not in {parent}', count(*) FROM batch_{t}
+        WHERE user_id NOT IN (SELECT user_id FROM batch_{parent} UNION ALL SELECT user_id FROM {parent} WHERE user_id % 2 = 0)"""
+        for t, parent in (("fact_subscriptions", "dim_users"), ("fact_cancellations", "fact_subscriptions"), ("fact_matches", "dim_users"))
+    )
+    domains = re.sub(r"(?<!')\b(dim_users|fact_subscriptions)\b(?!')", r"batch_\1", _DOMAINS)
+    batch = ", ".join(
+        f"batch_{t} AS (SELECT DISTINCT ON (user_id) * FROM dirty_{t}{' WHERE user_id % 2 = 1' if odd else ''})"
+        for t, odd in (("dim_users", True), ("fact_subscriptions", True), ("fact_cancellations", False), ("fact_matches", False))
+    )
+    return _with(
+        f"{COMMERCE_TABLES}, {_FAULTS}, {batch}, domains AS ({domains})",
+        f"""SELECT rule, violations FROM ({nulls} UNION ALL {references}
+        UNION ALL SELECT table_name || ' ' || rule, violations FROM domains) WHERE violations > 0""",
+    )
+
+
 def _gates(*parts: str) -> str:
     return f"SELECT {_GATE_COLUMNS} FROM ({' UNION ALL '.join(f'({p})' for p in parts)})"
 
@@ -740,6 +764,10 @@ def oracle_sql() -> dict[str, str]:
     )
     q["events_through_parquet"] = _with(PRODUCT, "SELECT * FROM fact_events")
     q["users_through_stored_upsert"] = q["users_through_csv"]
+    q["one_row_batch_folders"] = _with(
+        PRODUCT, "SELECT count(*) AS users, 1::BIGINT AS changed_users, 1::BIGINT AS replaced_folders, 0::BIGINT AS other_files_changed FROM dim_users"
+    )
+    q["batch_constraint_violations"] = _batch_violations()
     q["required_inputs"] = _with(
         PRODUCT,
         """SELECT 'dim_users' AS table_name, count(*) AS row_count FROM dim_users
@@ -848,6 +876,7 @@ def oracle_sql() -> dict[str, str]:
         COMMERCE_UM, f"SELECT {who}, cancelled_30d, {_HOURS}, support_tickets_30d FROM um"
     )
     q["experiment_user_metrics"] = _with(PRODUCT_UM, f"SELECT {_WHO}, {_OUTCOMES} FROM um")
+    q["metrics_after_three_batches"] = q["experiment_user_metrics"]
     q["experiment_user_metrics_commerce"] = _with(COMMERCE_UM, f"SELECT {_WHO}, {_OUTCOMES} FROM um")
     q["dashboard_user_level"] = _with(
         PRODUCT_UM,
@@ -956,6 +985,7 @@ def oracle_sql() -> dict[str, str]:
         f"""{summary} WHERE signup_ts::DATE BETWEEN DATE '2024-01-01' AND DATE '2024-01-03'
             AND device IN ('ios', 'web') AND country IN ('US', 'CA', 'GB') GROUP BY 1""",
     )
+    q["filtered_variant_summary_stored"] = q["filtered_variant_summary"]
 
     commerce = f"{COMMERCE_UM}, {_IN_ARMS}"
     described = f"SELECT metric, assigned_variant, n, {_r('mean', 'mean', 4)}, {_r('variance', 'variance', 4)} FROM moments"
@@ -1049,6 +1079,25 @@ def oracle_sql() -> dict[str, str]:
             ok_l AS guardrail_latency_within_tolerance, ok_t AS guardrail_support_within_tolerance
         FROM checked""",
     )
+    harmless = (
+        "activated_within_7d = 1 AND cancelled_30d = 0 AND support_tickets_30d = 0 OR user_id % 4 = 0"
+        " OR time_to_first_match_hours < 500 AND cancelled_30d = 0 AND support_tickets_30d = 0"
+    )
+    costly_rule = "activated_within_7d = 1 OR cancelled_30d = 1 OR support_tickets_30d > 0 OR user_id % 4 = 0"
+    for name, rule in (("decision_by_tolerance_costly", costly_rule), ("decision_by_tolerance_winning", harmless)):
+        arms = f"SELECT * REPLACE (CASE WHEN {rule} THEN 'treatment' ELSE 'control' END AS assigned_variant) FROM all_users"
+        users = COMMERCE_UM.rsplit("um AS (", 1)
+        q[name] = q["decision_by_tolerance"].replace(PRODUCT_UM, f"all_users AS (".join(users) + f", um AS ({arms})", 1)
+    q["exact_resample_totals"] = _with(
+        f"{COMMERCE_UM}, {_IN_ARMS}",
+        f"""SELECT metric, assigned_variant, 2000::BIGINT AS replicates, count(y) AS least_draws, count(y) AS most_draws
+        FROM ({_METRIC_LONG}) GROUP BY ALL""",
+    )
+    q["order_q_values"] = """
+        WITH tests AS (SELECT o_orderkey, round(o_totalprice / 1e6, 9) AS p_value FROM orders),
+        ranked AS (SELECT *, p_value * count(*) OVER () / row_number() OVER (ORDER BY p_value, o_orderkey) AS scaled FROM tests)
+        SELECT o_orderkey, p_value, round(least(1.0, min(scaled) OVER (ORDER BY p_value DESC, o_orderkey DESC)), 9) + 0.0 AS p_value_fdr
+        FROM ranked"""
     costly, winning = (
         f"um0 AS (SELECT * REPLACE (CASE WHEN {rule} THEN 'treatment' ELSE 'control' END AS assigned_variant) FROM in_arms)"
         for rule in (

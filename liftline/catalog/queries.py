@@ -19,6 +19,7 @@ from liftline.operators import (
     cuped,
     decisions,
     events as ev,
+    exact_bootstrap,
     moments,
     multiple_testing,
     power,
@@ -27,15 +28,17 @@ from liftline.operators import (
     user_metrics as um,
 )
 from liftline.params import CUPED_METRICS, METRICS
-from liftline.schemas import READOUT_INPUTS
+from liftline.schemas import READOUT_INPUTS, TABLES
 from liftline.session import scratch_path
-from liftline.sources import files, upsert as up, views
+from liftline.sources import files, upsert as up, user_level, views
 from liftline.sources.spoiled import spoiled_tables
+from liftline.sources.star import Star
 from liftline.sources.testbeds import COMMERCE, PRODUCT, commerce_tables, product_tables, raw_table
 
 # Arms by outcome: the primary metric wins without and with worsened guardrails.
 WINNING_ARM = "activated_within_7d = 1 AND cancelled_30d = 0 AND support_tickets_30d = 0 OR user_id % 4 = 0"
 COSTLY_ARM = "activated_within_7d = 1 OR cancelled_30d = 1 OR support_tickets_30d > 0 OR user_id % 4 = 0"
+HARMLESS_ARM = WINNING_ARM + " OR time_to_first_match_hours < 500 AND cancelled_30d = 0 AND support_tickets_30d = 0"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,6 +113,56 @@ def users_through_stored_upsert(spark, sf):
     return files.read_tables(spark, root, ["dim_users"])["dim_users"]
 
 
+def one_row_batch_folders(spark, sf):
+    """A batch of one user against users stored in folders: how many folders it replaces, and how many other files change."""
+    root = scratch_path(spark, "warehouse-parts")
+    users = product_tables(spark, sf)["dim_users"]
+    up.upsert_tables(spark, root, {"dim_users": users})
+    listed = lambda: set(files.read_table(spark, root, "dim_users").inputFiles())
+    before = listed()
+    last = users.orderBy(F.desc("user_id")).limit(1).withColumn("country", F.lit("XX"))
+    folders = up.upsert_tables(spark, root, {"dim_users": last}, constraints=True)["dim_users"]
+    others = {f for f in before ^ listed() if not any(folder in f for folder in folders)}
+    stored = files.read_table(spark, root, "dim_users")
+    return stored.agg(F.count(F.lit(1)).alias("users"), F.count_if(F.col("country") == "XX").alias("changed_users")).select(
+        "*", F.lit(len(folders)).cast("long").alias("replaced_folders"), F.lit(len(others)).cast("long").alias("other_files_changed")
+    )
+
+
+def batch_constraint_violations(spark, sf):
+    """Rules a spoiled batch would break: users of even id are stored, facts and users of odd id come in. Only the batch and the stored
+    keys it refers to are looked at."""
+    tables, root = commerce_tables(spark, sf), scratch_path(spark, "warehouse-checked")
+    even, odd = "user_id % 2 = 0", "user_id % 2 = 1"
+    up.upsert_tables(spark, root, {n: tables[n].where(even) for n in ("dim_users", "fact_subscriptions")})
+    spoiled = _spoiled(spark, sf)
+    batch = {n: spoiled[n].where(odd if n in ("dim_users", "fact_subscriptions") else "true") for n in ("dim_users", "fact_subscriptions", "fact_cancellations", "fact_matches")}
+    batch = {n: df.dropDuplicates([TABLES[n].key]) for n, df in batch.items()}
+    store = up.Store(spark, root)
+    return quality.batch_violations(batch, lambda parent, keys, column: store.known(parent, keys, column, batch))
+
+
+def _third(tables: dict[str, DataFrame], k: int) -> dict[str, DataFrame]:
+    """A third of all facts, by a hash; users of ids that 5 divides come with the second third, their facts not before them."""
+    late = F.col("user_id") % 5 == 0
+    out = {"dim_users": tables["dim_users"].where((~late, late, F.lit(False))[k])}
+    for name in ("fact_events", "fact_cancellations", "fact_matches", "fact_support_tickets"):
+        deal = F.pmod(F.hash(TABLES[name].key), F.lit(3))
+        out[name] = tables[name].where(F.when(late, F.greatest(deal, F.lit(1))).otherwise(deal) == k)
+    return out
+
+
+def metrics_after_three_batches(spark, sf):
+    """The user-level table from stored state that three batches were merged into, joined bucket by bucket."""
+    tables = product_tables(spark, sf)
+    root = scratch_path(spark, "star")
+    star = Star(spark, root, f"star_{root[-32:]}", exp=PRODUCT, buckets=8)
+    star.build(_third(tables, 0))
+    star.refresh(_third(tables, 1))
+    star.refresh(_third(tables, 2))
+    return rounded(star.experiment_user_metrics(), ["time_to_first_match_hours"])
+
+
 def required_inputs(spark, sf):
     """Which inputs of a readout a folder lacks that holds users and matches only."""
     root = scratch_path(spark, "inputs")
@@ -479,6 +532,20 @@ def filtered_variant_summary(spark, sf):
     return rounded(sm.variant_summary(kept), _LATENCY)
 
 
+def filtered_variant_summary_stored(spark, sf):
+    """The same filters over the user-level table stored by signup day: only the folders of three days are read."""
+    path = scratch_path(spark, "user-level")
+    user_level.write_user_level(_product_bi(spark, sf), path)
+    kept = sm.filtered(
+        user_level.read_user_level(spark, path),
+        signup_from="2024-01-01",
+        signup_to="2024-01-03",
+        device=["ios", "web"],
+        country=["US", "CA", "GB"],
+    )
+    return rounded(sm.variant_summary(kept), _LATENCY)
+
+
 # --- statistics ---------------------------------------------------------------------------------
 
 _TEST_DOUBLES = ["control_mean", "treatment_mean", "effect_abs", "effect_rel", "p_value"]
@@ -512,6 +579,25 @@ def bootstrap_intervals_per_user(spark, sf):
     return rounded(bootstrap.bootstrap_difference(_commerce_metrics(spark, sf), boot=boot), ["ci_low", "ci_high"])
 
 
+def exact_resample_totals(spark, sf):
+    """Draws per metric and arm when each replicate draws as many users as there are: the least and the most of all replicates."""
+    sums = exact_bootstrap.exact_sums(_commerce_metrics(spark, sf), boot=COMMERCE.bootstrap)
+    return sums.groupBy("metric", "assigned_variant").agg(
+        F.count(F.lit(1)).alias("replicates"), F.min("n").alias("least_draws"), F.max("n").alias("most_draws")
+    )
+
+
+def bootstrap_intervals_exact(spark, sf):
+    """Intervals from n draws with replacement per arm. Its random numbers have no SQL; the tests compare it with plain resampling."""
+    return rounded(exact_bootstrap.exact_intervals(_commerce_metrics(spark, sf), boot=COMMERCE.bootstrap), ["ci_low", "ci_high"])
+
+
+def order_q_values(spark, sf):
+    """One family of as many tests as there are orders: an order's p-value is its price as a share of a million."""
+    tests = raw_table(spark, sf, "orders").select("o_orderkey", F.round(F.col("o_totalprice") / 1e6, 9).alias("p_value"))
+    return rounded(multiple_testing.benjamini_hochberg_large(tests, ["o_orderkey"]), ["p_value_fdr"], 9)
+
+
 def _results(spark, sf):
     return ab_tests.ab_result_table(_commerce_metrics(spark, sf), boot=COMMERCE.bootstrap)
 
@@ -675,6 +761,25 @@ def decision_by_tolerance(spark, sf):
     )
 
 
+def _tolerance_by_outcome(spark, sf, rule: str) -> DataFrame:
+    users = _commerce_dashboard(spark, sf).withColumn("assigned_variant", F.expr(f"IF({rule}, 'treatment', 'control')"))
+    decision = decisions.decision_by_tolerance(sm.dashboard_variant_summary(users))
+    return rounded(
+        decision,
+        ["activation_lift_pp", "cancellation_delta_pp", "match_latency_delta_hours", "support_ticket_delta"],
+    )
+
+
+def decision_by_tolerance_costly(spark, sf):
+    """Arms by outcome, so that activation improves and guardrails suffer."""
+    return _tolerance_by_outcome(spark, sf, COSTLY_ARM)
+
+
+def decision_by_tolerance_winning(spark, sf):
+    """Arms by outcome, so that activation improves and no guardrail suffers."""
+    return _tolerance_by_outcome(spark, sf, HARMLESS_ARM)
+
+
 def kpi_snapshot(spark, sf):
     results = _results(spark, sf)
     table = cuped.cuped_table(_commerce_metrics(spark, sf), COMMERCE.covariate, boot=COMMERCE.bootstrap)
@@ -701,6 +806,9 @@ def labelled_results(spark, sf):
 QUERIES: list[Query] = [
     users_through_csv,
     users_through_stored_upsert,
+    one_row_batch_folders,
+    batch_constraint_violations,
+    metrics_after_three_batches,
     required_inputs,
     events_through_parquet,
     input_row_counts,
@@ -762,11 +870,15 @@ QUERIES: list[Query] = [
     calculated_fields_by_week,
     headline,
     filtered_variant_summary,
+    filtered_variant_summary_stored,
     arm_moments,
     arm_moments_from_buckets,
     difference_tests,
     bootstrap_intervals,
     bootstrap_intervals_per_user,
+    exact_resample_totals,
+    bootstrap_intervals_exact,
+    order_q_values,
     spoiled_null_violations,
     spoiled_primary_key_violations,
     spoiled_foreign_key_violations,
@@ -791,6 +903,8 @@ QUERIES: list[Query] = [
     guardrail_regressions,
     decision_by_pvalue,
     decision_by_tolerance,
+    decision_by_tolerance_costly,
+    decision_by_tolerance_winning,
     kpi_snapshot,
     strongest_segment,
     labelled_results,
