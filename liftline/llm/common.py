@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DataType, StructField, StructType
 
 from liftline.session import scratch_path
 
@@ -59,10 +61,34 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(app)
 
 
+#: Bytes of rows that a function gets at once, whatever the rows in a batch; a row larger than that comes alone.
+FRAME_BYTES = 8 << 20
+
+
+def pieces(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
+    """The batch in halves, and halves of those, until each is small enough."""
+    if batch.num_rows <= 1 or batch.nbytes <= limit:
+        yield batch
+    else:
+        half = batch.num_rows // 2
+        yield from pieces(batch.slice(0, half), limit)
+        yield from pieces(batch.slice(half), limit)
+
+
 def map_frames(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
-    """``mapInPandas`` with the package at hand on the executors."""
+    """A function from frames to frames over each partition, with the package at hand on the executors. Frames are bounded in bytes,
+    not in rows: a worker's memory does not depend on how long texts are."""
     ship_package(df.sparkSession)
-    return df.mapInPandas(function, schema)
+    declared = schema if isinstance(schema, StructType) else DataType.fromDDL(schema)
+    wanted = to_arrow_schema(StructType([StructField(f.name, f.dataType) for f in declared]))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frames = (piece.to_pandas() for batch in batches if batch.num_rows for piece in pieces(batch, FRAME_BYTES))
+        for frame in function(frames):
+            if len(frame):
+                yield pa.RecordBatch.from_pandas(frame, schema=wanted, preserve_index=False)
+
+    return df.mapInArrow(each, schema)
 
 
 def map_batches(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:

@@ -15,8 +15,9 @@ Equal word sequences are one node of the graph, whatever the number of copies. W
 ``CENTRES`` nodes of it, not with all: groups of copies are tied together by few pairs. Where a bucket then still holds several
 components, all pairs across them are compared if it is one of a prefix, whatever its size, or has few members (``SMALL``). In a prefix
 bucket only pairs meet whose sizes let the shared prefixes reach that shingle. The members of a larger bucket of sketches, typically texts
-that share a long passage, are sketched again with ``LONGER`` shingles at a time (a pair is missed at most 2.9, then 11 times in a million),
-and after the last look compared across components whatever their number. Components are found by alternating star contraction, checkpointed each round.
+that share a long passage or come from one text by many edits, meet again by their prefixes, with shingles ordered by how often those
+members have them: exact, and what many share stands at the end of that order, beyond the prefixes. Components are found by
+alternating star contraction, checkpointed each round.
 
 Defined results: every row gets a class, the smallest id in its group; texts of fewer than five words are grouped only if
 their words are equal; texts without words (NULL or empty) are their own class; a NULL id is in a class like any other and is never
@@ -38,8 +39,6 @@ from liftline.llm.words import SHINGLE, words
 
 SIMILARITY = 0.8
 SKETCHES, PER_SKETCH = 32, 5
-#: Further looks at large buckets: (sketches, shingles in each).
-LONGER = ((160, 11), (400, 15))
 #: Texts of up to ``EXACT`` shingles meet by prefixes, those of ``LONG`` or more by sketches: no similar pair lies astride the two.
 EXACT, LONG = 125, 100
 #: Counters by which shingles are ordered from rare to common; any order is exact.
@@ -80,7 +79,7 @@ def order_sketch(shingles: np.ndarray, sketches: int, per_sketch: int) -> np.nda
     labelled = labelled_values(shingles)
     take = min(per_sketch, n)
     out = []
-    step = max(1, 2_000_000 // n)
+    step = max(1, 250_000 // n)
     for k in range(0, sketches, step):
         seeds = np.arange(k, min(sketches, k + step), dtype=np.uint64)
         values = (labelled[None, :] ^ mixed(seeds)[:, None]) * (mixed(seeds + np.uint64(77)) | np.uint64(1))[:, None]
@@ -100,7 +99,8 @@ def prefix(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def aligned(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    """The longest common subsequence of two sequences within ``band`` of the diagonal: one row of bits per element of ``b``."""
+    """The longest common subsequence of two sequences within ``band`` of the diagonal: one row of bits per element of ``b``, as wide as
+    the band, so that the work is linear in the texts."""
     n = min(len(a), len(b))
     differ = np.flatnonzero(a[:n] != b[:n])
     head = int(differ[0]) if len(differ) else n
@@ -111,19 +111,40 @@ def aligned(a: np.ndarray, b: np.ndarray, band: int) -> int:
     a, b = a[: len(a) - tail], b[: len(b) - tail]
     if not len(a) or not len(b):
         return head + tail
-    at: dict[int, int] = {}
+    size = len(a)
+    places: dict[int, list[int]] = {}
     for i, x in enumerate(a.tolist()):
-        at[x] = at.get(x, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    free = full
+        places.setdefault(x, []).append(i)
+    #: Per element seen: the first place its bits stand for, the bits, and how many of its places are in them.
+    seen: dict[int, tuple[int, int, int]] = {}
+    low, high, free, matched = 0, 0, 0, 0  # the band holds the places [low, high); a bit of ``free`` is 0 where a match ends
     for j, x in enumerate(b.tolist()):
-        match = at.get(x, 0)
-        if match:
-            low = max(0, j - band)
-            match &= ((1 << (j + band + 1 - low)) - 1) << low
-            both = free & match
-            free = ((free + both) | (free - both)) & full
-    return head + tail + len(a) - free.bit_count()
+        wide = min(size, j + band + 1)
+        if wide > high:
+            free |= ((1 << (wide - high)) - 1) << (high - low)
+            high = wide
+        left = min(max(0, j - band), high)
+        if left > low:
+            gone = left - low
+            matched += gone - (free & ((1 << gone) - 1)).bit_count()
+            free >>= gone
+            low = left
+        if low >= size:
+            break
+        mine = places.get(x)
+        if mine is None:
+            continue
+        since, bits, used = seen.get(x, (low, 0, 0))
+        bits >>= low - since
+        while used < len(mine) and mine[used] < high:
+            if mine[used] >= low:
+                bits |= 1 << (mine[used] - low)
+            used += 1
+        seen[x] = (low, bits, used)
+        both = free & bits
+        if both:
+            free = ((free + both) | (free - both)) & ((1 << (high - low)) - 1)
+    return head + tail + matched + (high - low) - free.bit_count()
 
 
 def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
@@ -164,7 +185,7 @@ def _buckets(sequences: DataFrame, sketches: int, per_sketch: int) -> DataFrame:
 
 
 def _counts(sequences: DataFrame) -> np.ndarray:
-    """How many labelled shingles of short texts fall in each slot: a few megabytes, whatever the input."""
+    """How many labelled shingles fall in each slot: a few megabytes, whatever the input."""
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(SLOTS, np.int64)
@@ -180,7 +201,7 @@ def _counts(sequences: DataFrame) -> np.ndarray:
         return pd.DataFrame({"chunk": frame["chunk"].iloc[:1], "counts": [total.tobytes()]})
 
     schema = "chunk long, counts binary"
-    parts = map_frames(_short(sequences), counted, schema).groupBy("chunk").applyInPandas(added, schema)
+    parts = map_frames(sequences, counted, schema).groupBy("chunk").applyInPandas(added, schema)
     out = np.zeros(SLOTS, np.int64)
     for r in parts.collect():
         out[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counts"], np.int64)
@@ -192,7 +213,7 @@ def _short(sequences: DataFrame) -> DataFrame:
 
 
 def _prefixes(sequences: DataFrame) -> DataFrame:
-    """(node, size, bucket, place): the prefix of every short sequence, once per node and task at least."""
+    """(node, size, bucket, place): the prefix of every sequence (node, words), once per node and task at least."""
     shared = sequences.sparkSession.sparkContext.broadcast(_counts(sequences))
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -207,7 +228,7 @@ def _prefixes(sequences: DataFrame) -> DataFrame:
                 "place": np.concatenate([np.zeros(0, np.int64), *map(np.arange, lengths)]),
             })
 
-    return written(map_frames(_short(sequences), cut, "node long, size long, bucket long, place long"), "prefixes")
+    return written(map_frames(sequences, cut, "node long, size long, bucket long, place long"), "prefixes")
 
 
 def _shared(buckets: DataFrame) -> DataFrame:
@@ -293,32 +314,26 @@ def _across(rows: DataFrame) -> DataFrame:
 
 def links(sequences: DataFrame) -> DataFrame:
     """(a, b): similar nodes, enough of them to connect every group of similar texts."""
-    close = _shared(_prefixes(sequences))
-    found = needed = None
-    pool = sequences
-    for level, (sketches, per_sketch) in enumerate([(SKETCHES, PER_SKETCH), *LONGER]):
-        shared = _shared(_buckets(pool, sketches, per_sketch))
-        every = shared if level else shared.unionByName(close.select(shared.columns))
-        pairs = written(_star_pairs(every), "pairs")
-        known = found
-        if needed is None:  # later levels look at some of these again
-            used = written(every.select("node").distinct(), "nodes")
-            some = sequences.join(broadcast_if_small(used, BROADCAST_ROWS), "node", "left_semi")
-            needed = written(some.dropDuplicates(["node"]).select("node", "n", "words"), "contents")
-        more = written(_verified(pairs, needed), "links")
-        found = more if known is None else known.unionByName(more)
-        groups = components(found)
-        rest = written(_open(shared, groups), "open")
-        last = level == len(LONGER)
-        across = _across(rest if last else rest.where(F.col("members") <= SMALL))
-        if not level:
-            across = across.unionByName(_across(written(_open(close, groups), "open"))).distinct()
-        found = written(found.unionByName(_verified(across.join(pairs, ["a", "b"], "left_anti"), needed)), "links")
-        large = written(rest.where(F.col("members") > SMALL).select("node").distinct(), "large")
-        if last or large.isEmpty():
-            break
-        pool = needed.join(large, "node", "left_semi")
-    return found
+    close, shared = _shared(_prefixes(_short(sequences))), _shared(_buckets(sequences, SKETCHES, PER_SKETCH))
+    every = shared.unionByName(close.select(shared.columns))
+    pairs = written(_star_pairs(every), "pairs")
+    used = written(every.select("node").distinct(), "nodes")
+    some = sequences.join(broadcast_if_small(used, BROADCAST_ROWS), "node", "left_semi")
+    needed = written(some.dropDuplicates(["node"]).select("node", "n", "words"), "contents")
+    found = written(_verified(pairs, needed), "links")
+    groups = components(found)
+    rest = written(_open(shared, groups), "open")
+    across = _across(rest.where(F.col("members") <= SMALL)).unionByName(_across(written(_open(close, groups), "open"))).distinct()
+    found = written(found.unionByName(_verified(across.join(pairs, ["a", "b"], "left_anti"), needed)), "links")
+    large = written(rest.where(F.col("members") > SMALL).select("node").distinct(), "large")
+    if large.isEmpty():
+        return found
+    # members of large buckets meet again by their prefixes, among themselves
+    near = _shared(_prefixes(needed.join(large, "node", "left_semi").select("node", "words")))
+    pairs = written(_star_pairs(near), "pairs")
+    found = written(found.unionByName(_verified(pairs, needed)), "links")
+    across = _across(written(_open(near, components(found)), "open"))
+    return written(found.unionByName(_verified(across.join(pairs, ["a", "b"], "left_anti"), needed)), "links")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -160,11 +161,41 @@ def test_a_large_group_of_near_copies_and_a_shared_passage(spark, monkeypatch):
     passage = " ".join(f"passage{i}" for i in range(40))
     rows += [(1_000 + i, passage + " " + " ".join(f"own{i}x{k}" for k in range(25))) for i in range(60)]
     rows += [(2_000 + i, rows[120 + i][1] + " more") for i in range(5)]
-    monkeypatch.setattr(near_dedup, "SMALL", 10)  # so that buckets are sketched again
+    monkeypatch.setattr(near_dedup, "SMALL", 10)  # so that members of large buckets meet by their prefixes
     got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(documents(spark, rows)).collect()}
     assert got == plain_classes(rows)
 
 
+def test_long_texts_of_many_edits_in_large_buckets(spark, monkeypatch):
+    """Copies of one long text with few and many edits: not all are similar to a centre, and some only to one another."""
+    monkeypatch.setattr(near_dedup, "SMALL", 10)
+    rnd = random.Random(12)
+    base = [f"long{i}" for i in range(200)]
+    rows = []
+    for i in range(90):
+        words = list(base)
+        for k in rnd.sample(range(200), rnd.randint(1, 9)):
+            words[k] = f"edit{i}x{k}"
+        rows.append((i, " ".join(words)))
+        if i % 10 == 0:  # a copy of the copy
+            words[rnd.randrange(200)] = f"again{i}"
+            rows.append((1_000 + i, " ".join(words)))
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(documents(spark, rows)).collect()}
+    assert got == plain_classes(rows) and len(set(got.values())) > 5
+
+
+def test_alignment_of_long_texts_is_linear():
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 1 << 40, 300_000)
+    b = a.copy()
+    b[[0, -1]] = 1, 2
+    started = time.time()
+    assert near_dedup.aligned(a, b, 4) == 299_998
+    same = np.zeros(20_000, np.int64)
+    assert near_dedup.similar(np.append(same, 1), np.append(same[:18_000], 2))
+    assert time.time() - started < 20
+
+
 def test_short_texts_in_a_large_bucket(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "SMALL", 10)
     rows = []
