@@ -80,9 +80,10 @@ def _count(parts: list[str], owners: list[int], out: np.ndarray) -> None:
     if not whole:
         return
     shape_of, lower_of, power, inverse, hashed = _tables()
-    chars = np.minimum(np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32), 0x2FFF).astype(np.int64)
+    chars = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    shape, lower = shape_of[chars], lower_of[chars]
+    known = np.minimum(chars, len(shape_of) - 1)  # characters beyond the table have the shape of its last
+    shape, lower = shape_of[known], np.where(chars < len(lower_of), lower_of[known], chars)
     n = len(parts)
     counts = np.zeros((n, DIMENSIONS), np.float32)
 
@@ -98,7 +99,7 @@ def _count(parts: list[str], owners: list[int], out: np.ndarray) -> None:
         add(o[2:][same], hashed[(s[:-2] * 70 + s[1:-1]) * 70 + s[2:]][same])
     if len(lower) > 2:
         same = owner[2:] == owner[:-2]
-        code = mixed((lower[:-2] << 40 | lower[1:-1] << 20 | lower[2:])[same]) % np.uint64(CONTENT)
+        code = mixed((lower[:-2] << 42 | lower[1:-1] << 21 | lower[2:])[same]) % np.uint64(CONTENT)
         add(owner[2:][same], SHAPES + code.astype(np.int64))
     # words by their hashes
     blank = (chars == 32) | ((chars >= 9) & (chars <= 13))

@@ -18,10 +18,12 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -107,7 +109,13 @@ def matches(text: str, key: tuple) -> dict[int, float]:
             excused.append((start, end))
         else:
             best[start] = max(best.get(start, 0.0), weight)
-    return {s: w for s, w in best.items() if not any(a <= s < b for a, b in excused)} if excused else best
+    if not excused:
+        return best
+    # where the furthest end among the phrases that begin up to a match lies beyond the match, one of them holds it
+    excused.sort()
+    starts, reach = [a for a, _ in excused], list(accumulate((b for _, b in excused), max))
+    held = lambda s: (k := bisect_right(starts, s)) and s < reach[k - 1]
+    return {s: w for s, w in best.items() if not held(s)}
 
 
 def features(text: str, key: tuple) -> tuple[float, float]:
