@@ -3,8 +3,8 @@
 Every task packs the documents of its own partition as they come, sorted, so nothing is shuffled. A level array counts
 the partially filled windows of each fill. A document is first cut into whole windows; what is left goes to
 the fill that makes the sum of the squared counts smallest: a new window, or one of a fill it still fits, where
-a window it completes leaves the sum. At the end of a partition the pieces in the windows still open are cut
-again: they fill whole windows one after another, and the rest becomes windows of a power of two, which need no padding.
+a window it completes leaves the sum. At the end of a partition the fullest windows still open are filled up with pieces of
+the emptiest, which are cut again; the rest becomes windows of a power of two, which need no padding.
 
 Defined results: a NULL or empty text is the end id alone; NULL ids and repeated rows are packed as rows of
 their own; ties between fills go to the fullest; other columns are ignored; no rows give no rows.
@@ -31,6 +31,8 @@ class SumOfSquares:
         self.counts = np.zeros(window + 1, np.int64)
         self.open: list[list] = [[] for _ in range(window + 1)]
         self.next = 0
+        #: Ids that left the window the rule had given them, at the end.
+        self.moved = 0
 
     def _new(self) -> int:
         self.next += 1
@@ -77,23 +79,42 @@ class SumOfSquares:
             offset += n
 
     def finish(self) -> Iterator[tuple[int, int, int, int, int]]:
-        """The windows still open, their pieces cut so that no padding is left."""
-        rest = [piece for level in self.open for pieces in level for piece in pieces]
-        left = sum(n for _, _, n in rest)
-        sizes = [self.window] * (left // self.window) + [1 << k for k in reversed(range(31)) if left % self.window >> k & 1]
-        laid, filled = [], 0
-        for size in sizes:
-            pieces, need = [], size
+        """The windows still open, without padding: the fullest keep their pieces and are filled up with pieces of the emptiest, cut where
+        they must be; of the last one the rest becomes windows of a power of two."""
+        open_windows = [(fill, pieces) for fill, level in enumerate(self.open) for pieces in level]
+        low, high = 0, len(open_windows) - 1  # they stand from the emptiest to the fullest
+        spare: list[tuple[int, int, int]] = []
+        laid = []
+
+        def taken(need: int) -> list[tuple[int, int, int]]:
+            nonlocal low
+            out = []
             while need:
-                document, start, n = rest[filled]
+                if not spare:
+                    spare.extend(reversed(open_windows[low][1]))
+                    low += 1
+                document, start, n = spare.pop()
                 used = min(n, need)
-                pieces.append((document, start, used))
+                out.append((document, start, used))
                 need -= used
                 if used < n:
-                    rest[filled] = (document, start + used, n - used)
-                else:
-                    filled += 1
-            laid += self._laid(pieces)
+                    spare.append((document, start + used, n - used))
+            return out
+
+        left = sum(n for _, _, n in spare) + sum(fill for fill, _ in open_windows)
+        while low <= high and left >= self.window:
+            fill, pieces = open_windows[high]
+            high -= 1
+            laid += self._laid(pieces + taken(self.window - fill))
+            self.moved += self.window - fill
+            left -= self.window
+        while left >= self.window:
+            laid += self._laid(taken(self.window))
+            self.moved += self.window
+            left -= self.window
+        for size in [1 << k for k in reversed(range(31)) if left >> k & 1]:
+            laid += self._laid(taken(size))
+            self.moved += size
         yield from laid
 
 
