@@ -3,8 +3,8 @@
 Base spans come from three patterns. The models are two first-order character chains, trained on labelled samples of tokens taken
 from the corpus itself: strings inside base spans are labelled random, words and identifiers outside of them that no
 pattern touches are labelled ordinary. Each class is a bounded sample (``SAMPLE`` tokens, those of the
-smallest hashes, so it does not depend on the order of rows); every text is scored. A token of 16 or more
-characters that holds a digit and a letter and lies outside the base spans becomes a span of the kind ``markov`` when its
+smallest hashes, so it does not depend on the order of rows); every text is scored. Every token of 16 or more
+characters, whatever it holds and whatever base spans it touches, becomes a span of the kind ``markov`` when its
 log-likelihood ratio per transition exceeds ``THRESHOLD``. A chain learns only from what the corpus has; with no
 sample of one class the ratio is zero and nothing is added.
 
@@ -76,8 +76,7 @@ def _placed(matches: str, kind: str) -> Column:
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """(doc_id, tie, assign, access, hex, token) of rows (doc_id, text): spans of the three base kinds, and the tokens to judge:
-    those with a digit and a letter that no base span overlaps."""
+    """(doc_id, tie, base, token) of rows (doc_id, text): spans of the three base kinds, and every token long enough to judge."""
     found = docs.select(
         "doc_id", "text", *[F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias(f"m_{k}") for k, p in PATTERNS.items()]
     )
@@ -85,12 +84,7 @@ def scanned(docs: DataFrame) -> DataFrame:
     base = placed.withColumn(
         "assign", F.filter("assign", lambda x: F.char_length(F.regexp_extract(x["value"], ASSIGN, 2)) >= ASSIGN_CHARS)
     ).withColumn("base", F.array_sort(F.concat("assign", "access", "hex")))
-    token = F.filter(
-        "markov",
-        lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]")
-        & ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])),
-    )
-    return base.select("doc_id", "tie", "base", token.alias("token"))
+    return base.select("doc_id", "tie", "base", F.col("markov").alias("token"))
 
 
 def _bounded(tokens: DataFrame) -> DataFrame:

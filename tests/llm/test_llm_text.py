@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -241,6 +242,20 @@ def test_secrets_by_brute_force(spark):
     assert added == "markov:4:24"
 
 
+def test_strings_beyond_the_patterns_are_judged(spark):
+    """Random strings of letters alone, and strings that touch a base span, among ordinary texts."""
+    rnd = random.Random(5)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    pick = lambda chars, n: "".join(rnd.choice(chars) for _ in range(n))
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    rows += [(10_000 + i, "token = " + pick(letters + "0123456789+/", 32)) for i in range(200)]  # what random strings look like
+    rows += [(20_000 + i, f"see {pick(letters, 32)} there") for i in range(50)]
+    rows += [(30_000 + i, f"password = {pick(letters, 8)}/{pick(letters, 24)}") for i in range(50)]
+    found = {r["doc_id"]: r["spans"] for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum("markov" in found[20_000 + i] for i in range(50)) >= 40
+    assert sum("markov" in found[30_000 + i] for i in range(50)) >= 40
+
+
 def test_secrets_of_no_rows(spark):
     assert secret_scan.digest(secret_scan.scan(empty(spark))).count() == 0
 
@@ -319,3 +334,31 @@ def test_long_texts_are_counted_in_blocks(monkeypatch):
     parts = quality.term_counts([LONG])
     quality._tables.cache_clear()
     assert abs(whole.sum() - parts.sum()) < 0.01 * whole.sum()
+
+
+def test_wide_characters_count_as_themselves():
+    two = quality.term_counts(["日本語の文章", "中国语的句子"])
+    assert (two[0] != two[1]).any()
+
+
+@pytest.mark.parametrize("documents", [300, 2_000])
+def test_few_ids_leave_the_window_the_rule_gave_them(documents):
+    sizes = np.random.default_rng(1).integers(1, 3_000, documents)
+    packer = packing.SumOfSquares(1024)
+    pieces = [p for i, n in enumerate(sizes) for p in packer.take(i, int(n))] + list(packer.finish())
+    assert sum(p[2] for p in pieces) == sizes.sum()
+    assert packer.moved < 0.12 * (sizes % 1024).sum()
+
+
+def test_many_exception_phrases_end_soon():
+    phrases = [f" w{a}x w{b}y " for a in range(30) for b in range(30)]
+    lexicon = toxicity.Lexicon({" w": 1.0}, phrases)
+    text = " " + " ".join(f"w{i % 30}x w{i % 29}y" for i in range(40_000)) + " "
+    started = time.time()
+    got = toxicity.matches(text, lexicon.key)
+    assert time.time() - started < 20
+    small = text[: text.index(" ", 2_000) + 1]
+    plain = {i for i in range(len(small)) if small.startswith(" w", i)}
+    held = [(i, i + len(p) - 1) for p in phrases for i in range(len(small)) if small.startswith(p, i)]
+    assert set(toxicity.matches(small, lexicon.key)) == {s for s in plain if not any(a <= s < b for a, b in held)}
+    assert got is not None
