@@ -49,8 +49,15 @@ def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
 _shipped: set[str] = set()
 
 
+#: Rows of a batch between Spark and Python: these are texts and vectors, and a batch is held on both sides.
+BATCH, ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package, once per application, so that its functions can be loaded there."""
+    """Give the executors this package, once per application, so that its functions can be loaded there. A session that has not chosen the
+    rows of its Arrow batches gets ``ROWS``."""
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, str(ROWS))
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         package = Path(__file__).resolve().parents[1]

@@ -29,8 +29,8 @@ from liftline.llm.common import broadcast_if_small, col, map_frames, written
 from liftline.llm.tokens import ranges
 
 PARTS, ENTRIES, ROUNDS = 16, 64, 2
-#: Vectors per block, and parts per leaf of its trees.
-BLOCK, LEAF = 16_384, 4
+#: Vectors per block, about (a block takes whole frames, and has fewer than 2^16), and parts per leaf of its trees.
+BLOCK, LEAF = 8_192, 4
 SCALE, LARGEST = 256, 1 << 27
 #: Sums of labels that may be broadcast; beyond that the join shuffles.
 BROADCAST_LABELS = 100_000
@@ -163,18 +163,24 @@ def blocks(rows: DataFrame, width: int, parts: int) -> DataFrame:
     """(ids, points, orders) of rows (row, v): blocks of vectors with the order of each part's tree, stored."""
 
     def built(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
         for frame in frames:
-            for k in range(0, len(frame), BLOCK):
-                some = frame.iloc[k : k + BLOCK]
-                points = np.zeros((len(some), width), np.int32)
-                for i, v in enumerate(some["v"]):
-                    points[i, : len(v)] = v
-                each = points.astype(np.int64).reshape(len(some), parts, width // parts)
-                orders = np.stack([tree_order(each[:, j], part_depth(len(some))) for j in range(parts)])
-                yield pd.DataFrame({
-                    "ids": [some["row"].to_numpy(np.int64).tobytes()], "points": [points.tobytes()],
-                    "orders": [orders.astype(np.int16).tobytes()],
-                })
+            held.append(frame)
+            if sum(map(len, held)) >= BLOCK:
+                yield block(pd.concat(held))
+                held = []
+        if held:
+            yield block(pd.concat(held))
+
+    def block(some: pd.DataFrame) -> pd.DataFrame:
+        points = np.zeros((len(some), width), np.int32)
+        for i, v in enumerate(some["v"]):
+            points[i, : len(v)] = v
+        each = points.astype(np.int64).reshape(len(some), parts, width // parts)
+        orders = np.stack([tree_order(each[:, j], part_depth(len(some))) for j in range(parts)])
+        return pd.DataFrame({
+            "ids": [some["row"].to_numpy(np.int64).tobytes()], "points": [points.tobytes()], "orders": [orders.astype(np.uint16).tobytes()],
+        })
 
     return written(map_frames(rows.select("row", "v"), built, "ids binary, points binary, orders binary"), "part-trees")
 
@@ -182,7 +188,7 @@ def blocks(rows: DataFrame, width: int, parts: int) -> DataFrame:
 def _unpacked(row, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ids = np.frombuffer(row.ids, np.int64)
     points = np.frombuffer(row.points, np.int32).astype(np.int64).reshape(len(ids), parts, -1)
-    return ids, points, np.frombuffer(row.orders, np.int16).reshape(parts, len(ids))
+    return ids, points, np.frombuffer(row.orders, np.uint16).reshape(parts, len(ids))
 
 
 def lloyd_round(stored: DataFrame, books: np.ndarray) -> np.ndarray:
