@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
@@ -82,6 +83,14 @@ def pieces(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
         yield from pieces(batch.slice(half), limit)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker stays alive for later tasks, and would hold the most it ever used."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_frames(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """A function from frames to frames over each partition, with the package at hand on the executors. Frames are bounded in bytes,
     not in rows: a worker's memory does not depend on how long texts are."""
@@ -94,6 +103,7 @@ def map_frames(df: DataFrame, function: Callable, schema: str | StructType) -> D
         for frame in function(frames):
             if len(frame):
                 yield pa.RecordBatch.from_pandas(frame, schema=wanted, preserve_index=False)
+        give_back()
 
     return df.mapInArrow(each, schema)
 
