@@ -3,8 +3,11 @@
 Every 400-byte window of a document belongs to an anchor: the place of the smallest hash among the 32-byte strings in it, the leftmost
 of equals. Equal windows have equal anchors at equal distances, so windows can be compared anchor by anchor. The windows of one place
 form a context, a stretch of 400 to 768 bytes. Only hashes of contexts are shuffled at first; those whose anchor occurs once
-are done, equal contexts become one with a count, and one that is alone with its anchor is settled by that count. The bytes
-of the others are fetched and indexed in shards of about ``SHARD_BYTES``, whole anchors each.
+are done, and equal contexts become one with a count. The bytes of all others, plain copies included, are fetched and dealt into shards
+of about ``SHARD_BYTES``, whole anchors each.
+
+Windows at nearby distances from the anchor share a core of bytes. Where a core occurs once with its anchor, no window around it can be
+repeated; what is left of a context are the stretches whose cores occur again, and these are indexed.
 
 In a shard the suffixes are sorted by their first 512 bytes and the Burrows-Wheeler transform is taken. Intervals are expanded
 breadth first, from the empty string on: the string w with an interval is extended backward by each byte c in it, and the end of the
@@ -149,10 +152,15 @@ def burrows_wheeler(data: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarra
         ranked = key[array]
         rank = np.empty(n, np.uint64)
         rank[array] = np.cumsum(np.concatenate([[0], ranked[1:] != ranked[:-1]])).astype(np.uint64)
-        if known >= order or int(rank[array[-1]]) == n - 1:
+        largest = int(rank[array[-1]])
+        if known >= order or largest == n - 1:
             return array, data[array - 1]
-        key = rank << np.uint64(32) | np.roll(rank, -known)
-        known *= 2
+        # as many ranks as a key holds: two of large shards, three or more of small ones
+        bits = max(largest.bit_length(), 1)
+        key = rank
+        for k in range(1, 64 // bits):
+            key = key << np.uint64(bits) | np.roll(rank, -known * k)
+        known *= 64 // bits
 
 
 def common_prefixes(transform: np.ndarray, length: int) -> np.ndarray:
@@ -195,6 +203,43 @@ def common_prefixes(transform: np.ndarray, length: int) -> np.ndarray:
     return shared[:n]
 
 
+def range_width(length: int) -> int:
+    """The widest range of distances whose windows share enough bytes."""
+    return next(w for w in RANGES if w <= max(length // 4, 1))
+
+
+def open_stretches(
+    data: np.ndarray, begins: np.ndarray, sizes: np.ndarray, offsets: np.ndarray, groups: np.ndarray, counts: np.ndarray, length: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, first byte, bytes) of the stretches that hold every window whose core occurs twice or more with its anchor.
+
+    Windows at a distance of ``part * width`` to ``part * width + width - 1`` bytes before the anchor share their core. Cores are compared
+    by hashes: equal ones stay equal, so no repeated window is left out."""
+    width = range_width(length)
+    near, far = (offsets - sizes + length) // width, offsets // width
+    number = far - near + 1
+    owner = np.repeat(np.arange(len(sizes)), number)
+    part = ranges(near, number)
+    at = offsets[owner] - part * width
+    core, span = length - width + 1, 1
+    h = _VALUES[0][data]
+    while span * 2 <= core:
+        h = h[:-span] * (_BASES[0] + np.uint64(2 * span)) + h[span:]
+        span *= 2
+    place = begins[owner] + at
+    key = mixed(h[place] ^ mixed(h[place + core - span] ^ mixed(groups[owner].view(np.uint64) + part.astype(np.uint64))))
+    _, same = np.unique(key, return_inverse=True)
+    held = np.flatnonzero(np.bincount(same, weights=counts[owner])[same] >= 2)
+    if not len(held):
+        return tuple(np.zeros(0, np.int64) for _ in range(3))
+    # the larger the part, the earlier its windows; those of neighbouring parts are one stretch
+    owner, part = owner[held], part[held]
+    low, high = np.maximum(at[held] - width + 1, 0), np.minimum(at[held], sizes[owner] - length)
+    new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (part[1:] != part[:-1] + 1)]))
+    last = np.append(new[1:], len(held)) - 1
+    return owner[new], low[last], high[new] - low[last] + length
+
+
 def repeated_windows(contexts: list[bytes], counts: np.ndarray, length: int) -> list[np.ndarray]:
     """Per context the starts of its windows that occur at least twice, counting each context ``counts`` times."""
     sizes = np.array([len(c) for c in contexts], np.int64)
@@ -227,17 +272,31 @@ SPANS = "array<struct<a:int,b:int>>"
 
 
 def _indexed(contexts: DataFrame, length: int) -> DataFrame:
-    """(c1, c2, spans) of contexts (group, c1, c2, count, bytes): the repeated stretches of each, by the search above."""
+    """(c1, c2, spans) of contexts (group, c1, c2, count, offset, bytes): the repeated stretches of each, by the search above."""
 
     def shards(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
         size = 0
 
         def flush() -> pd.DataFrame:
-            some = pd.concat(held)
-            windows = repeated_windows(some["bytes"].tolist(), some["count"].to_numpy(), length)
-            spans = [[{"a": int(a), "b": int(b)} for a, b in zip(*merged(w, w + length))] for w in windows]
-            return pd.DataFrame({"c1": some["c1"], "c2": some["c2"], "spans": spans})
+            some = pd.concat(held, ignore_index=True)
+            contexts, counts = some["bytes"].tolist(), some["count"].to_numpy()
+            sizes = some["bytes"].map(len).to_numpy(np.int64)
+            data = np.frombuffer(b"".join(contexts), np.uint8)
+            owner, low, n = open_stretches(
+                data, np.cumsum(sizes) - sizes, sizes, some["offset"].to_numpy(np.int64), some["group"].to_numpy(), counts, length
+            )
+            if not len(owner):
+                return pd.DataFrame({"c1": [], "c2": [], "spans": []})
+            stretches = [contexts[i][a : a + m] for i, a, m in zip(owner.tolist(), low.tolist(), n.tolist())]
+            windows = repeated_windows(stretches, counts[owner], length)
+            spans: dict[int, list[dict[str, int]]] = {}
+            for i, start, found in zip(owner.tolist(), low.tolist(), windows):
+                if len(found):
+                    a, b = merged(found + start, found + start + length)
+                    spans.setdefault(i, []).extend({"a": x, "b": y} for x, y in zip(a.tolist(), b.tolist()))
+            at = list(spans)
+            return pd.DataFrame({"c1": some["c1"].to_numpy()[at], "c2": some["c2"].to_numpy()[at], "spans": list(spans.values())})
 
         last = None
         for frame in frames:
@@ -251,19 +310,15 @@ def _indexed(contexts: DataFrame, length: int) -> DataFrame:
         if held:
             yield flush()
 
-    dealt = contexts.select("group", "c1", "c2", "count", "bytes").repartition("group").sortWithinPartitions("group", "c1", "c2")
-    return map_frames(dealt, shards, f"c1 long, c2 long, spans {SPANS}").where(F.size("spans") > 0)
+    dealt = contexts.select("group", "c1", "c2", "count", "offset", "bytes").repartition("group").sortWithinPartitions("group", "c1", "c2")
+    return map_frames(dealt, shards, f"c1 long, c2 long, spans {SPANS}")
 
 
 def _settled(contexts: DataFrame, length: int, limit: int, level: int = 0) -> DataFrame:
     """(c1, c2, spans) of contexts (group, c1, c2, count, offset, bytes) that hold repeated windows."""
     sizes = contexts.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
     grouped = contexts.join(sizes, "group")
-    alone = grouped.where("members = 1 AND count > 1").select(
-        "c1", "c2", F.array(F.struct(F.lit(0).alias("a"), F.length("bytes").alias("b"))).cast(SPANS).alias("spans")
-    )
-    few = _indexed(grouped.where(F.col("members").between(2, limit)), length)
-    found = alone.unionByName(few)
+    found = _indexed(grouped.where((F.col("members") <= limit) & ((F.col("members") > 1) | (F.col("count") > 1))), length)
     many = grouped.where(F.col("members") > limit)
     widths = [w for w in RANGES if w <= length // 4]
     if level == len(widths) or many.isEmpty():
@@ -301,13 +356,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, limit: int = ANCHOR_CO
     one = open_ones.groupBy("anchor", "c1", "c2", "size", "offset").agg(
         F.sum(F.size("starts")).alias("count"), F.min(F.struct("doc_id", "tie", F.col("starts")[0].alias("start"))).alias("at")
     )
-    one = written(one, "distinct")
-    members = one.groupBy("anchor").agg(F.count(F.lit(1)).alias("members"))
-    grouped = one.join(members, "anchor")
-    alone = grouped.where("members = 1").select(
-        "c1", "c2", F.array(F.struct(F.lit(0).alias("a"), F.col("size").alias("b"))).cast(SPANS).alias("spans")
-    )
-    wanted = grouped.where("members > 1").select(
+    wanted = one.select(
         F.col("at.doc_id").alias("d"), F.col("at.tie").alias("t"), F.col("at.start").alias("start"),
         F.col("anchor").alias("group"), "c1", "c2", "size", "offset", "count",
     )
@@ -318,7 +367,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, limit: int = ANCHOR_CO
         F.encode("text", "utf-8").alias("raw"), F.explode("cuts").alias("c")
     ).select(*[F.col(f"c.{f}") for f in fields], F.expr("substring(raw, cast(c.start as int) + 1, c.size)").alias("bytes"))
     contexts = written(fetched.dropDuplicates(["c1", "c2"]), "fetched")
-    found = written(alone.unionByName(_settled(contexts, length, limit)), "spans")
+    found = written(_settled(contexts, length, limit), "spans")
     placed = open_ones.join(found, ["c1", "c2"]).select("doc_id", "tie", F.explode("starts").alias("start"), "spans")
     shifted = F.transform("spans", lambda x: F.struct((x["a"] + F.col("start")).alias("a"), (x["b"] + F.col("start")).alias("b")))
     return placed.groupBy("doc_id", "tie").agg(F.flatten(F.collect_list(shifted)).alias("spans"))

@@ -94,6 +94,35 @@ def test_suffixes_of_random_texts(spark, limit):
     assert removed(suffix_dedup.dedupe(documents(spark, rows), 48, limit=limit)) == plain_suffix(rows, 48)
 
 
+def test_open_stretches_hold_every_repeated_window():
+    rng = np.random.default_rng(6)
+    length, dropped = 48, 0
+    for _ in range(30):
+        # contexts of two anchors, cut around the same place of texts that differ in a few bytes
+        text, contexts, groups, offsets = rng.integers(97, 123, 200).astype(np.uint8), [], [], []
+        for _ in range(8):
+            own = text.copy()
+            own[rng.integers(0, 200, rng.integers(1, 5))] = 65 + rng.integers(0, 26)
+            low, size = int(rng.integers(70, 90)), int(rng.integers(length, length + 16))
+            contexts.append(own[low : low + size])
+            groups.append(int(rng.integers(0, 2)))
+            offsets.append(100 - low)
+        sizes = np.array([len(c) for c in contexts])
+        counts = rng.integers(1, 3, 8) if rng.random() < 0.5 else np.ones(8, np.int64)
+        owner, start, n = suffix_dedup.open_stretches(
+            np.concatenate(contexts), np.cumsum(sizes) - sizes, sizes, np.array(offsets), np.array(groups), counts, length
+        )
+        held = {(i, a + k) for i, a, m in zip(owner.tolist(), start.tolist(), n.tolist()) for k in range(m - length + 1)}
+        windows = {(i, k): (groups[i], offsets[i] - k, c[k : k + length].tobytes()) for i, c in enumerate(contexts) for k in range(len(c) - length + 1)}
+        seen = Counter()
+        for (i, _), w in windows.items():
+            seen[w] += counts[i]
+        repeated = {at for at, w in windows.items() if seen[w] >= 2}
+        assert repeated <= held <= windows.keys()
+        dropped += len(windows) - len(held)
+    assert dropped > 0
+
+
 def test_suffixes_of_awkward_rows(spark):
     rows = [(i, t[:3_000] if t else t) for i, t in TEXTS]
     assert removed(suffix_dedup.dedupe(documents(spark, rows))) == plain_suffix(rows, 400)
