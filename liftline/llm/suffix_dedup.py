@@ -185,10 +185,10 @@ def common_prefixes(transform: np.ndarray, length: int) -> np.ndarray:
             run[1:] = told[1:] != told[:-1]
             heads = np.flatnonzero(run)
             lengths = np.diff(np.append(heads, len(told)))
-            sort = np.argsort(told[heads], kind="stable")
+            sort = np.argsort(told[heads])
             key, first, lengths = told[heads][sort], at[heads][sort], lengths[sort]
             new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            begin = last_first[first[new]]
+            begin = last_first[np.minimum.reduceat(first, new)]
             begins.append(begin)
             ends.append(begin + np.add.reduceat(lengths, new))
         low, high = np.concatenate(begins), np.concatenate(ends)
@@ -300,13 +300,18 @@ def _indexed(contexts: DataFrame, length: int) -> DataFrame:
 
         last = None
         for frame in frames:
-            for group, part in frame.groupby("group", sort=False):
-                if size >= SHARD_BYTES and group != last:
+            groups = frame["group"].to_numpy()
+            told = np.append(0, np.cumsum(frame["bytes"].map(len).to_numpy(np.int64)))
+            begin = 0
+            # shards end between groups only
+            for at in np.flatnonzero(np.append(groups[:1] != last, groups[1:] != groups[:-1])).tolist():
+                if size + told[at] - told[begin] >= SHARD_BYTES:
+                    held.append(frame.iloc[begin:at])
                     yield flush()
-                    held, size = [], 0
-                held.append(part)
-                size += int(part["bytes"].map(len).sum())
-                last = group
+                    held, size, begin = [], 0, at
+            held.append(frame.iloc[begin:])
+            size += int(told[-1] - told[begin])
+            last = groups[-1]
         if held:
             yield flush()
 
@@ -316,13 +321,14 @@ def _indexed(contexts: DataFrame, length: int) -> DataFrame:
 
 def _settled(contexts: DataFrame, length: int, limit: int, level: int = 0) -> DataFrame:
     """(c1, c2, spans) of contexts (group, c1, c2, count, offset, bytes) that hold repeated windows."""
-    sizes = contexts.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
-    grouped = contexts.join(sizes, "group")
-    found = _indexed(grouped.where((F.col("members") <= limit) & ((F.col("members") > 1) | (F.col("count") > 1))), length)
-    many = grouped.where(F.col("members") > limit)
     widths = [w for w in RANGES if w <= length // 4]
-    if level == len(widths) or many.isEmpty():
+    if level == len(widths):
+        return _indexed(contexts, length)
+    large = written(contexts.groupBy("group").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > limit).select("group"), "large")
+    found = _indexed(contexts.join(large, "group", "left_anti"), length)
+    if large.isEmpty():
         return found
+    many = contexts.join(large, "group")
     # windows by their distance from the anchor, in ranges, and by the bytes that all windows of a range share
     width = widths[level]
     far, near = F.floor(F.col("offset") / width), F.floor((F.col("offset") - F.length("bytes") + length) / width)
@@ -351,7 +357,8 @@ def _settled(contexts: DataFrame, length: int, limit: int, level: int = 0) -> Da
 def repeated_spans(rows: DataFrame, length: int = LENGTH, limit: int = ANCHOR_CONTEXTS) -> DataFrame:
     """(doc_id, tie, spans) of the rows (doc_id, tie, text) that have bytes to remove; spans may overlap."""
     all_contexts = written(find_contexts(rows, length), "contexts")
-    often = all_contexts.groupBy("anchor").agg(F.sum(F.size("starts")).alias("n")).where("n > 1").select("anchor")
+    # stored, so that each join below is of two plain shuffles, whose hot keys Spark can split
+    often = written(all_contexts.groupBy("anchor").agg(F.sum(F.size("starts")).alias("n")).where("n > 1").select("anchor"), "often")
     open_ones = written(all_contexts.join(often, "anchor"), "open")
     one = open_ones.groupBy("anchor", "c1", "c2", "size", "offset").agg(
         F.sum(F.size("starts")).alias("count"), F.min(F.struct("doc_id", "tie", F.col("starts")[0].alias("start"))).alias("at")
