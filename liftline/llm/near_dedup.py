@@ -13,11 +13,18 @@ similar pair has a text below ``LONG`` and one above ``EXACT``.
 
 Equal word sequences are one node of the graph, whatever the number of copies. Within a bucket every node is compared with
 ``CENTRES`` nodes of it, not with all: groups of copies are tied together by few pairs. Where a bucket then still holds several
-components, all pairs across them are compared if it is one of a prefix, whatever its size, or has few members (``SMALL``). In a prefix
-bucket only pairs meet whose sizes let the shared prefixes reach that shingle. The members of a larger bucket of sketches, typically texts
-that share a long passage or come from one text by many edits, meet again by their prefixes, with shingles ordered by how often those
-members have them: exact, and what many share stands at the end of that order, beyond the prefixes. Components are found by
-alternating star contraction, checkpointed each round.
+components, all pairs across them are compared if it has few members (``SMALL``). In a prefix bucket only pairs meet whose sizes let the
+shared prefixes reach that shingle. The members of a larger bucket of sketches, typically texts that share a long passage or come from
+one text by many edits, meet again by their prefixes, with shingles ordered by how often those members have them: exact, and what many
+share stands at the end of that order, beyond the prefixes.
+
+The members of larger prefix buckets meet by their differences from a centre, the node of most links in the bucket's largest component.
+With X the labelled shingles of a text and P those of the centre, X ^ Y = (X ^ P) ^ (Y ^ P): two texts are at most as far apart as 0.8
+allows only if their differences share (|X ^ P| + |Y ^ P| - allowed) / 2 elements, so they meet by a prefix filter of the differences.
+What a family of edited texts has in common is in no difference, and its own edits come first in each. Texts as near to the centre as 0.8
+allows, but not aligned with it (parts moved), are compared with the other near ones of their buckets.
+
+Components are found by alternating star contraction, checkpointed each round.
 
 Defined results: every row gets a class, the smallest id in its group; texts of fewer than five words are grouped only if
 their words are equal; texts without words (NULL or empty) are their own class; a NULL id is in a class like any other and is never
@@ -26,7 +33,7 @@ its name unless all ids are NULL; repeated rows share a class; other columns are
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -184,14 +191,18 @@ def _buckets(sequences: DataFrame, sketches: int, per_sketch: int) -> DataFrame:
     return written(map_frames(long, sketched, "node long, bucket long"), "sketches")
 
 
-def _counts(sequences: DataFrame) -> np.ndarray:
-    """How many labelled shingles fall in each slot: a few megabytes, whatever the input."""
+def _labelled(frame: pd.DataFrame) -> list[np.ndarray]:
+    """The labelled shingles of each node of a frame (node, words), once."""
+    return [labelled_values(shingle_values(np.asarray(w))) for w in frame.drop_duplicates("node")["words"]]
+
+
+def _counts(rows: DataFrame, values_of: Callable[[pd.DataFrame], list[np.ndarray]] = _labelled) -> np.ndarray:
+    """How many values fall in each slot: a few megabytes, whatever the input."""
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(SLOTS, np.int64)
         for frame in frames:
-            found = [labelled_values(shingle_values(np.asarray(w))) for w in frame.drop_duplicates("node")["words"]]
-            values, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]) % np.uint64(SLOTS), return_counts=True)
+            values, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *values_of(frame)]) % np.uint64(SLOTS), return_counts=True)
             total[values.astype(np.int64)] += n
         some = [k for k in range(SLOTS // CHUNK) if total[k * CHUNK : (k + 1) * CHUNK].any()]
         yield pd.DataFrame({"chunk": some, "counts": [total[k * CHUNK : (k + 1) * CHUNK].tobytes() for k in some]})
@@ -201,7 +212,7 @@ def _counts(sequences: DataFrame) -> np.ndarray:
         return pd.DataFrame({"chunk": frame["chunk"].iloc[:1], "counts": [total.tobytes()]})
 
     schema = "chunk long, counts binary"
-    parts = map_frames(sequences, counted, schema).groupBy("chunk").applyInPandas(added, schema)
+    parts = map_frames(rows, counted, schema).groupBy("chunk").applyInPandas(added, schema)
     out = np.zeros(SLOTS, np.int64)
     for r in parts.collect():
         out[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK] = np.frombuffer(r["counts"], np.int64)
@@ -288,14 +299,14 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _open(shared: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows (bucket, node, ...) of the buckets that hold several components, with the component, how many members there are, and
-    whether the row lies outside the bucket's largest component."""
+    """The rows (bucket, node, ...) of the buckets that hold several components, with the component, how many members there are, the
+    bucket's largest component (``main``), and whether the row lies outside of it."""
     named = shared.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sizes = named.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("k"))
     ends = sizes.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("parts"), F.sum("k").alias("members"), F.max_by("component", F.struct("k", "component")).alias("main")
     )
-    return named.join(ends.where("parts > 1"), "bucket").withColumn("outside", F.col("component") != F.col("main")).drop("parts", "main")
+    return named.join(ends.where("parts > 1"), "bucket").withColumn("outside", F.col("component") != F.col("main")).drop("parts")
 
 
 def _across(rows: DataFrame) -> DataFrame:
@@ -312,6 +323,113 @@ def _across(rows: DataFrame) -> DataFrame:
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def allowed(total: int) -> int:
+    """How many labelled shingles two similar sequences of ``total`` shingles together may have that the other lacks."""
+    return total - 2 * int(np.ceil(SIMILARITY * total / (1 + SIMILARITY) - 1e-9))
+
+
+def _differences(members: DataFrame, contents: DataFrame) -> DataFrame:
+    """(main, head, node, size, head_size, values, linked) of (main, head, node): in which labelled shingles a node and the head of its family
+    differ, the sizes of both, and whether they are similar."""
+    left = contents.select(F.col("node").alias("head"), F.col("words").alias("left"))
+
+    def differing(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            pairs = [(shingle_values(np.asarray(x)), shingle_values(np.asarray(y))) for x, y in zip(frame["left"], frame["words"])]
+            yield pd.DataFrame({
+                "main": frame["main"], "head": frame["head"], "node": frame["node"],
+                "size": [len(y) for _, y in pairs], "head_size": [len(x) for x, _ in pairs],
+                "values": [np.setxor1d(labelled_values(x), labelled_values(y)).view(np.int64) for x, y in pairs],
+                "linked": [similar(x, y) for x, y in pairs],
+            })
+
+    met = members.join(left, "head").join(contents.select("node", "words"), "node").select("main", "head", "node", "left", "words")
+    schema = "main long, head long, node long, size long, head_size long, values array<long>, linked boolean"
+    return written(map_frames(met, differing, schema), "differences")
+
+
+def index_reach(distance: int, size: int, head_size: int, far: bool) -> int:
+    """The last place at which the prefix of a difference may have to hold an element of a far partner's.
+
+    A pair must share o = (x + y - allowed(a + b)) / 2 elements, so one stands at a place of at most y - o in this one. The partner is
+    far, x > allowed(a + p), and allowed(a + b) exceeds allowed(a + p) by at most ``extra``; of two far ones the partner has x >= y,
+    and sizes a factor 0.8 apart allow b / 4 at most. The fractions are those of 0.8."""
+    more = size - head_size
+    extra = more - 2 * (4 * more // 9) if more >= 0 else more + 2 * -(4 * more // 9)
+    reach = (distance - 1 + extra) // 2
+    return min(reach, size // 8) if far else reach
+
+
+def _difference_prefixes(found: DataFrame) -> DataFrame:
+    """(main, node, size, distance, far, bucket, place, indexed, probing) of differences. A node is far when its difference alone tells that
+    it is not similar to the head."""
+    of = lambda frame: [np.asarray(v, np.int64).view(np.uint64) for v in frame["values"]]
+    shared = found.sparkSession.sparkContext.broadcast(_counts(found, of))
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            values = of(frame)
+            kinds = []
+            for v, size, head_size in zip(values, frame["size"], frame["head_size"]):
+                far = len(v) > allowed(size + head_size)
+                kinds.append((size, len(v), far, index_reach(len(v), size, head_size, far), size // 4 if far else -1))
+            lengths = [min(distance, max(reach, probe) + 1) for _, distance, _, reach, probe in kinds]
+            orders = [np.lexsort((v, shared.value[v % np.uint64(SLOTS)]))[:n] for v, n in zip(values, lengths)]
+            size, distance, far, reach, probe = (np.repeat(np.array(x), lengths) for x in zip(*kinds))
+            place = np.concatenate([np.arange(n) for n in lengths])
+            yield pd.DataFrame({
+                "main": np.repeat(frame["main"].to_numpy(), lengths), "node": np.repeat(frame["node"].to_numpy(), lengths),
+                "size": size, "distance": distance, "far": far, "place": place, "indexed": place <= reach, "probing": place <= probe,
+                "bucket": np.concatenate([v[o] for v, o in zip(values, orders)]).view(np.int64),
+            })
+
+    schema = "main long, node long, size long, distance long, far boolean, place long, indexed boolean, probing boolean, bucket long"
+    return written(map_frames(found, cut, schema), "difference-prefixes")
+
+
+def _across_far(prefixes: DataFrame, groups: DataFrame) -> DataFrame:
+    """(a, b), a < b: pairs of one family in different components, one of them far from the head, whose differences can share enough."""
+    named = prefixes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    columns = ("node", "component", "size", "distance", "far", "place")
+    left = named.where("probing").select("main", "bucket", *[F.col(c).alias(f"{c}_x") for c in columns])
+    right = named.where("indexed").select(F.col("main").alias("family"), F.col("bucket").alias("at"), *[F.col(c).alias(f"{c}_y") for c in columns])
+    total = F.col("size_x") + F.col("size_y")
+    need = F.ceil(total * (SIMILARITY / (1 + SIMILARITY)) - 1e-9)
+    share = (F.col("distance_x") + F.col("distance_y") - total + 2 * need) / 2
+    first = F.struct("distance_y", "node_y") < F.struct("distance_x", "node_x")
+    able = (F.col("component_x") != F.col("component_y")) & (~F.col("far_y") | first)
+    able &= (F.col("place_x") + share <= F.col("distance_x")) & (F.col("place_y") + share <= F.col("distance_y"))
+    met = left.join(right, (F.col("main") == F.col("family")) & (F.col("bucket") == F.col("at")) & able)
+    return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
+
+
+def _by_centres(rows: DataFrame, tried: DataFrame, found: DataFrame, contents: DataFrame) -> DataFrame:
+    """``found`` and the links across components of the large buckets of ``rows`` (open prefix buckets)."""
+    rows = rows.where(F.col("members") > SMALL)
+    if rows.isEmpty():
+        return found
+    groups = components(found)
+    degrees = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").count()
+    heads = degrees.join(groups, "node").groupBy("component").agg(F.max_by("node", F.struct("count", "node")).alias("head"))
+    mains = rows.select("main").distinct().join(groups.withColumnRenamed("node", "main"), "main", "left").join(heads, "component", "left")
+    # a component without links is one node, and named by it
+    families = mains.select("main", F.coalesce("head", "main").alias("head"))
+    members = written(rows.select("main", "node").distinct().join(families, "main"), "families")
+    apart = _differences(members, contents)
+    linked = apart.where("linked AND head <> node").select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b"))
+    found = written(found.unionByName(linked.distinct()), "links")
+    groups = components(found)
+    prefixes = _difference_prefixes(apart)
+    total = F.col("size") + F.col("head_size")
+    near = F.size("values") <= total - 2 * F.ceil(total * (SIMILARITY / (1 + SIMILARITY)) - 1e-9)
+    near_ones = written(apart.where(near).select("main", "node", F.col("linked").alias("settled")), "near-heads")
+    across = _across_far(prefixes, groups)
+    if not near_ones.where("NOT settled").isEmpty():
+        now = rows.drop("component", "outside").join(near_ones, ["main", "node"]).join(groups, "node", "left")
+        across = across.unionByName(_across(now.withColumn("component", F.coalesce("component", "node")).withColumn("outside", ~F.col("settled"))))
+    return written(found.unionByName(_verified(across.distinct().join(tried, ["a", "b"], "left_anti"), contents)), "links")
+
+
 def links(sequences: DataFrame) -> DataFrame:
     """(a, b): similar nodes, enough of them to connect every group of similar texts."""
     close, shared = _shared(_prefixes(_short(sequences))), _shared(_buckets(sequences, SKETCHES, PER_SKETCH))
@@ -323,8 +441,10 @@ def links(sequences: DataFrame) -> DataFrame:
     found = written(_verified(pairs, needed), "links")
     groups = components(found)
     rest = written(_open(shared, groups), "open")
-    across = _across(rest.where(F.col("members") <= SMALL)).unionByName(_across(written(_open(close, groups), "open"))).distinct()
+    apart = written(_open(close, groups), "open")
+    across = _across(rest.where(F.col("members") <= SMALL)).unionByName(_across(apart.where(F.col("members") <= SMALL))).distinct()
     found = written(found.unionByName(_verified(across.join(pairs, ["a", "b"], "left_anti"), needed)), "links")
+    found = _by_centres(apart, pairs, found, needed)
     large = written(rest.where(F.col("members") > SMALL).select("node").distinct(), "large")
     if large.isEmpty():
         return found
@@ -332,8 +452,10 @@ def links(sequences: DataFrame) -> DataFrame:
     near = _shared(_prefixes(needed.join(large, "node", "left_semi").select("node", "words")))
     pairs = written(_star_pairs(near), "pairs")
     found = written(found.unionByName(_verified(pairs, needed)), "links")
-    across = _across(written(_open(near, components(found)), "open"))
-    return written(found.unionByName(_verified(across.join(pairs, ["a", "b"], "left_anti"), needed)), "links")
+    apart = written(_open(near, components(found)), "open")
+    across = _across(apart.where(F.col("members") <= SMALL))
+    found = written(found.unionByName(_verified(across.join(pairs, ["a", "b"], "left_anti"), needed)), "links")
+    return _by_centres(apart, pairs, found, needed)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -246,3 +246,57 @@ def test_short_texts_of_unequal_length(spark):
     got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(documents(spark, rows)).collect()}
     assert got == plain_classes(rows)
     assert (got[0], got[1], got[2]) == (0, 0, 2)  # 8 words, the same and one more, the same and two more
+
+
+def edited(rnd: random.Random, words: list[str], edits: int, tag: str) -> list[str]:
+    """A copy with words replaced, put in, left out, or a block moved, mostly near one another."""
+    out, at = list(words), rnd.randrange(len(words))
+    for k in range(edits):
+        i = min(len(out) - 1, max(0, at + rnd.randint(-4, 4))) if rnd.random() < 0.6 else rnd.randrange(len(out))
+        kind = rnd.choice(["replace", "replace", "insert", "delete", "move"])
+        if kind == "replace":
+            out[i] = f"{tag}e{k}" if rnd.random() < 0.7 else f"often{rnd.randint(0, 3)}"
+        elif kind == "insert":
+            out.insert(i, f"{tag}e{k}")
+        elif kind == "delete" and len(out) > 20:
+            del out[i]
+        elif kind == "move":
+            out = out[i:] + out[:i]
+    return out
+
+
+def test_similar_texts_meet_by_their_differences_from_any_head():
+    """The places that the prefixes of differences must reach, against every pair, whatever text is the head."""
+    rnd = random.Random(31)
+    of = lambda words: near_dedup.shingle_values(np.array([hash(w) for w in words], np.int64))
+    met = 0
+    for n in (20, 45, 80, 140):
+        base = [f"base{n}x{i}" for i in range(n)]
+        family = [of(edited(rnd, base, rnd.randint(0, 4), f"t{i}")) for i in range(60)]
+        for head in family[:6]:
+            sets = [set(near_dedup.labelled_values(x).tolist()) for x in family]
+            differ = [sorted(x ^ set(near_dedup.labelled_values(head).tolist())) for x in sets]
+            far = [len(d) > near_dedup.allowed(len(x) + len(head)) for d, x in zip(differ, family)]
+            reach = [near_dedup.index_reach(len(d), len(x), len(head), f) for d, x, f in zip(differ, family, far)]
+            for i in range(60):
+                for j in range(60):
+                    first = not far[j] or (len(differ[j]), j) < (len(differ[i]), i)
+                    if i != j and far[i] and first and near_dedup.similar(family[i], family[j]):
+                        met += 1
+                        assert set(differ[i][: len(family[i]) // 4 + 1]) & set(differ[j][: reach[j] + 1])
+    assert met > 200
+
+
+def test_families_of_edited_texts_by_differences(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SMALL", 3)
+    met = []
+    real = near_dedup._by_centres
+    monkeypatch.setattr(near_dedup, "_by_centres", lambda rows, *rest: met.append(rows.where("members > 3").count()) or real(rows, *rest))
+    rnd = random.Random(17)
+    rows = []
+    for g, n in enumerate([14, 30, 60, 100, 150]):
+        base = [f"base{g}x{i}" for i in range(n)]
+        for i in range(60):
+            rows.append((1_000 * g + i, " ".join(edited(rnd, base, rnd.randint(0, 5), f"t{g}x{i}"))))
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(documents(spark, rows)).collect()}
+    assert got == plain_classes(rows) and len(set(got.values())) > 50 and max(met) > 100
