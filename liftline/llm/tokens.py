@@ -7,11 +7,9 @@ Parts that hold the literal of an added token, and vocabularies of another kind,
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -22,7 +20,7 @@ WHITE_SPACE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x
 #: The endings that a byte-level vocabulary splits off after an apostrophe.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 #: Characters handled at once; bounds a task's memory whatever the length of a text.
-BLOCK = 2_000_000
+BLOCK = 500_000
 #: Pieces a worker remembers; others are encoded again in each block.
 REMEMBERED = 800_000
 LONGEST = 64
@@ -66,27 +64,28 @@ def cut_points(text: str, block: int = BLOCK) -> list[int]:
 class TokenEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.library = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as f:
-            kind = json.load(f)
-        added = kind.get("added_tokens") or []
-        self.literals = [x["content"] for x in added]
-        pre = kind.get("pre_tokenizer") or {}
+        # asked from the library: the file's vocabulary need not be parsed twice
+        added = list(self.library.get_added_tokens_decoder().values())
+        self.literals = [x.content for x in added]
+        pre = self.library.pre_tokenizer
         self.by_piece = (
-            pre.get("type") == "ByteLevel"
-            and pre.get("use_regex", True)
-            and not pre.get("add_prefix_space", True)
-            and not kind.get("normalizer")
+            isinstance(pre, ByteLevel)
+            and pre.use_regex
+            and not pre.add_prefix_space
+            and self.library.normalizer is None
             # a long text is cut before white space: no literal may hold or take any
-            and not any(x.get("lstrip") or x.get("rstrip") or x.get("single_word") or re.search(r"\s", x["content"]) for x in added)
+            and not any(x.lstrip or x.rstrip or x.single_word or re.search(r"\s", x.content) for x in added)
             and len(self.library.encode("\n", add_special_tokens=False).ids) == 1
         )
         if self.by_piece:
             self.newline = self.library.encode("\n", add_special_tokens=False).ids[0]
         self.known: dict[int, int] = {}
         self.ascii = np.array([self.char_class(c) if self.by_piece else 0 for c in range(128)], np.uint8)
-        self.slots: dict[int, int] = {}
+        #: Hashes of the pieces remembered, ascending, and where each one's ids are: arrays, a tenth of a dictionary.
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
         self.power = powers(BASE, BLOCK + 1)
@@ -189,7 +188,10 @@ class TokenEncoder:
         codes, kinds = pd.factorize(keys)
         kind_at = np.empty(len(kinds), np.int64)
         kind_at[codes[::-1]] = np.arange(len(codes))[::-1]
-        slot = np.fromiter(map(self.slots.get, kinds.tolist(), repeat(-1)), np.int64, len(kinds))
+        slot = np.full(len(kinds), -1, np.int64)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, kinds), len(self.keys) - 1)
+            slot = np.where(self.keys[at] == kinds, self.slots[at], slot)
         slot[codes[long]] = -1
         new = np.flatnonzero(slot < 0)
         used, room = len(self.starts), REMEMBERED - len(self.slots)
@@ -207,7 +209,10 @@ class TokenEncoder:
         out = pool[ranges(at_pool[slot][codes], piece_sizes)]
         if len(new) and len(new) <= room:
             short = sizes[kind_at[new]] <= LONGEST
-            self.slots.update(zip(kinds[new][short].tolist(), slot[new][short].tolist()))
+            order = np.argsort(kinds[new][short])
+            more = kinds[new][short][order]
+            at = np.searchsorted(self.keys, more)
+            self.keys, self.slots = np.insert(self.keys, at, more), np.insert(self.slots, at, slot[new][short][order])
             self.pool, self.starts, self.sizes = pool, at_pool, of_pool
         total = np.zeros(len(piece_sizes) + 1, np.int64)
         np.cumsum(piece_sizes, out=total[1:])
