@@ -403,15 +403,14 @@ def _across_far(prefixes: DataFrame, groups: DataFrame) -> DataFrame:
     return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
 
 
-def _by_centres(rows: DataFrame, tried: DataFrame, found: DataFrame, contents: DataFrame) -> DataFrame:
-    """``found`` and the links across components of the large buckets of ``rows`` (open prefix buckets)."""
+def _by_centres(rows: DataFrame, groups: DataFrame, tried: DataFrame, found: DataFrame, contents: DataFrame) -> DataFrame:
+    """``found`` and the links across components of the large buckets of ``rows``: prefix buckets that are open with ``groups``."""
     rows = rows.where(F.col("members") > SMALL)
     if rows.isEmpty():
         return found
-    groups = components(found)
     degrees = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").count()
     heads = degrees.join(groups, "node").groupBy("component").agg(F.max_by("node", F.struct("count", "node")).alias("head"))
-    mains = rows.select("main").distinct().join(groups.withColumnRenamed("node", "main"), "main", "left").join(heads, "component", "left")
+    mains = rows.select("main").distinct().join(heads.withColumnRenamed("component", "main"), "main", "left")
     # a component without links is one node, and named by it
     families = mains.select("main", F.coalesce("head", "main").alias("head"))
     members = written(rows.select("main", "node").distinct().join(families, "main"), "families")
@@ -444,7 +443,7 @@ def links(sequences: DataFrame) -> DataFrame:
     apart = written(_open(close, groups), "open")
     across = _across(rest.where(F.col("members") <= SMALL)).unionByName(_across(apart.where(F.col("members") <= SMALL))).distinct()
     found = written(found.unionByName(_verified(across.join(pairs, ["a", "b"], "left_anti"), needed)), "links")
-    found = _by_centres(apart, pairs, found, needed)
+    found = _by_centres(apart, groups, pairs, found, needed)
     large = written(rest.where(F.col("members") > SMALL).select("node").distinct(), "large")
     if large.isEmpty():
         return found
@@ -452,10 +451,11 @@ def links(sequences: DataFrame) -> DataFrame:
     near = _shared(_prefixes(needed.join(large, "node", "left_semi").select("node", "words")))
     pairs = written(_star_pairs(near), "pairs")
     found = written(found.unionByName(_verified(pairs, needed)), "links")
-    apart = written(_open(near, components(found)), "open")
+    groups = components(found)
+    apart = written(_open(near, groups), "open")
     across = _across(apart.where(F.col("members") <= SMALL))
     found = written(found.unionByName(_verified(across.join(pairs, ["a", "b"], "left_anti"), needed)), "links")
-    return _by_centres(apart, pairs, found, needed)
+    return _by_centres(apart, groups, pairs, found, needed)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
