@@ -24,7 +24,8 @@ allows only if their differences share (|X ^ P| + |Y ^ P| - allowed) / 2 element
 What a family of edited texts has in common is in no difference, and its own edits come first in each. Texts as near to the centre as 0.8
 allows, but not aligned with it (parts moved), are compared with the other near ones of their buckets.
 
-Components are found by alternating star contraction, checkpointed each round.
+Components are found by alternating star contraction, checkpointed each round; links found later are contracted between the components
+already known.
 
 Defined results: every row gets a class, the smallest id in its group; texts of fewer than five words are grouped only if
 their words are equal; texts without words (NULL or empty) are their own class; a NULL id is in a class like any other and is never
@@ -43,6 +44,7 @@ from pyspark.sql import DataFrame, functions as F
 from liftline.llm.common import broadcast_if_small, col, map_frames, texts, written
 from liftline.llm.tokens import mixed
 from liftline.llm.words import SHINGLE, words
+from liftline.session import scratch_folder
 
 SIMILARITY = 0.8
 SKETCHES, PER_SKETCH = 32, 5
@@ -54,6 +56,8 @@ CENTRES = 2
 #: Rows of eight bytes that may be broadcast; beyond that the join shuffles.
 BROADCAST_ROWS = 1_000_000
 SMALL = 32
+#: Rows of links that a task gets at least where a table is small.
+TASK_ROWS = 50_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -271,31 +275,62 @@ def _verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     return map_frames(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right"), kept, "a long, b long")
 
 
-def _digest(edges: DataFrame) -> tuple:
-    """What tells two sets of edges apart: their number and two sums of hashes."""
-    sums = [F.sum(F.xxhash64("u", "v", F.lit(k)).cast("decimal(38,0)")) for k in range(2)]
-    return tuple(edges.agg(F.count(F.lit(1)), *sums).first())
+def _few(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in no more tasks than ``rows`` rows need: small tables in many parts cost a file and a task for each part."""
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+    return df.coalesce(parts) if parts < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, component): the smallest node each is connected with, for every node of ``links`` (a, b)."""
-    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    state = _digest(edges)
+def _stars(edges: DataFrame) -> tuple[bool, int]:
+    """Whether every node is the centre of its links or has one link, to a centre, and the number of edges."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up")).unionByName(edges.select(F.col("v").alias("x"), F.lit(0).alias("up")))
+    per = ends.groupBy("x").agg(F.sum("up").alias("ups"), F.count(F.lit(1)).alias("n"))
+    bad, rows = per.agg(F.count_if(F.expr("ups > 0 AND n > 1")), F.sum("ups")).first()
+    return not bad, rows or 0
+
+
+def _contracted(edges: DataFrame, rows: int, folder: str) -> DataFrame:
+    """(u, v), u > v: every node with the smallest one it is connected with. Rounds are stored below ``folder``."""
+    spark = edges.sparkSession
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        _few(df.where("u <> v").distinct(), rows).write.parquet(f"{folder}/{name}")
+        return spark.read.schema("u long, v long").parquet(f"{folder}/{name}")
+
+    edges, k = stored(edges, "edges"), 0
     while True:
+        done, rows = _stars(edges)
+        if done:
+            return edges
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        large = written(large.distinct(), "edges")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low, "u")
-        small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        small = written(small.where("u <> v").distinct(), "edges")
-        before, state = state, _digest(small)
-        edges = small
-        if state == before:
-            break
-    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return written(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots).distinct(), "components")
+        low = _few(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), rows)
+        large = _few(both.where("v > u").join(low, "u"), rows).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = stored(large, f"large-{k}")
+        low = _few(large.groupBy("u").agg(F.min("v").alias("m")), rows)
+        small = _few(large.join(low, "u"), rows).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges, k = stored(small.unionByName(low.select("u", F.col("m").alias("v"))), f"small-{k}"), k + 1
+
+
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(node, component): the smallest node each is connected with, for every node of ``links`` (a, b) and of ``known``, the components
+    by other links: only links across those are contracted."""
+    spark, rows = links.sparkSession, links.count()
+    ends = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    if known is not None:
+        if not rows:
+            return known
+        for end in ("u", "v"):
+            named = known.select(F.col("node").alias(end), "component")
+            ends = ends.join(named, end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+    with scratch_folder(spark, "contraction") as folder:
+        edges = _contracted(ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), rows, folder)
+        roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component"))
+        found = edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+        if known is not None:
+            moved = edges.select(F.col("u").alias("component"), F.col("v").alias("to"))
+            named = known.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+            found, rows = named.unionByName(found), rows + known.count()
+        return written(_few(found.distinct(), rows), "components")
 
 
 def _open(shared: DataFrame, groups: DataFrame) -> DataFrame:
@@ -404,10 +439,12 @@ def _across_far(prefixes: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _by_centres(rows: DataFrame, groups: DataFrame, tried: DataFrame, found: DataFrame, contents: DataFrame) -> DataFrame:
-    """``found`` and the links across components of the large buckets of ``rows``: prefix buckets that are open with ``groups``."""
+    """The components by ``groups`` and the links across components of the open prefix buckets ``rows``. ``found`` are the links so far."""
+    few = _across(rows.where(F.col("members") <= SMALL)).join(tried, ["a", "b"], "left_anti")
+    more = _verified(few, contents)
     rows = rows.where(F.col("members") > SMALL)
     if rows.isEmpty():
-        return found
+        return components(written(more, "links"), groups)
     degrees = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").count()
     heads = degrees.join(groups, "node").groupBy("component").agg(F.max_by("node", F.struct("count", "node")).alias("head"))
     mains = rows.select("main").distinct().join(heads.withColumnRenamed("component", "main"), "main", "left")
@@ -416,8 +453,7 @@ def _by_centres(rows: DataFrame, groups: DataFrame, tried: DataFrame, found: Dat
     members = written(rows.select("main", "node").distinct().join(families, "main"), "families")
     apart = _differences(members, contents)
     linked = apart.where("linked AND head <> node").select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b"))
-    found = written(found.unionByName(linked.distinct()), "links")
-    groups = components(found)
+    groups = components(written(more.unionByName(linked).distinct(), "links"), groups)
     prefixes = _difference_prefixes(apart)
     total = F.col("size") + F.col("head_size")
     near = F.size("values") <= total - 2 * F.ceil(total * (SIMILARITY / (1 + SIMILARITY)) - 1e-9)
@@ -426,11 +462,12 @@ def _by_centres(rows: DataFrame, groups: DataFrame, tried: DataFrame, found: Dat
     if not near_ones.where("NOT settled").isEmpty():
         now = rows.drop("component", "outside").join(near_ones, ["main", "node"]).join(groups, "node", "left")
         across = across.unionByName(_across(now.withColumn("component", F.coalesce("component", "node")).withColumn("outside", ~F.col("settled"))))
-    return written(found.unionByName(_verified(across.distinct().join(tried, ["a", "b"], "left_anti"), contents)), "links")
+    more = _verified(across.distinct().join(tried, ["a", "b"], "left_anti"), contents)
+    return components(written(more, "links"), groups)
 
 
-def links(sequences: DataFrame) -> DataFrame:
-    """(a, b): similar nodes, enough of them to connect every group of similar texts."""
+def connected(sequences: DataFrame) -> DataFrame:
+    """(node, component) of every node that is similar to another."""
     close, shared = _shared(_prefixes(_short(sequences))), _shared(_buckets(sequences, SKETCHES, PER_SKETCH))
     every = shared.unionByName(close.select(shared.columns))
     pairs = written(_star_pairs(every), "pairs")
@@ -440,22 +477,18 @@ def links(sequences: DataFrame) -> DataFrame:
     found = written(_verified(pairs, needed), "links")
     groups = components(found)
     rest = written(_open(shared, groups), "open")
-    apart = written(_open(close, groups), "open")
-    across = _across(rest.where(F.col("members") <= SMALL)).unionByName(_across(apart.where(F.col("members") <= SMALL))).distinct()
-    found = written(found.unionByName(_verified(across.join(pairs, ["a", "b"], "left_anti"), needed)), "links")
-    found = _by_centres(apart, groups, pairs, found, needed)
+    across = _across(rest.where(F.col("members") <= SMALL))
     large = written(rest.where(F.col("members") > SMALL).select("node").distinct(), "large")
-    if large.isEmpty():
-        return found
-    # members of large buckets meet again by their prefixes, among themselves
-    near = _shared(_prefixes(needed.join(large, "node", "left_semi").select("node", "words")))
-    pairs = written(_star_pairs(near), "pairs")
-    found = written(found.unionByName(_verified(pairs, needed)), "links")
-    groups = components(found)
-    apart = written(_open(near, groups), "open")
-    across = _across(apart.where(F.col("members") <= SMALL))
-    found = written(found.unionByName(_verified(across.join(pairs, ["a", "b"], "left_anti"), needed)), "links")
-    return _by_centres(apart, groups, pairs, found, needed)
+    if not large.isEmpty():
+        # members of large buckets meet again by their prefixes, among themselves: another order, so buckets of other names
+        near = _shared(_prefixes(needed.join(large, "node", "left_semi").select("node", "words")))
+        close = close.unionByName(near.withColumn("bucket", F.xxhash64("bucket", F.lit(1))))
+        across = across.unionByName(_star_pairs(near))
+    again = written(across.join(pairs, ["a", "b"], "left_anti").distinct(), "pairs")
+    more = written(_verified(again, needed), "links")
+    groups = components(more, groups)
+    apart = written(_open(close, groups), "open")
+    return _by_centres(apart, groups, pairs.unionByName(again), found.unionByName(more), needed)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -463,7 +496,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     (NULL for a row without words, which is its own)."""
     rows = texts(docs, id_col, text_col)
     sequences = _sequences(rows)
-    groups = components(links(sequences))
+    groups = connected(sequences)
     named = sequences.select("doc_id", "tie", "node", "check")
     # two sequences that meet in ``node`` by chance are told apart by ``check``: only the first is in the graph
     one = named.where("node IS NOT NULL").groupBy("node", "check").agg(F.min("doc_id").alias("first"))

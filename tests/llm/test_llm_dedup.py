@@ -300,3 +300,27 @@ def test_families_of_edited_texts_by_differences(spark, monkeypatch):
             rows.append((1_000 * g + i, " ".join(edited(rnd, base, rnd.randint(0, 5), f"t{g}x{i}"))))
     got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(documents(spark, rows)).collect()}
     assert got == plain_classes(rows) and len(set(got.values())) > 50 and max(met) > 100
+
+
+def test_components_of_links_found_later(spark, monkeypatch, tmp_path):
+    """Later links are contracted between known components, and nothing of the rounds stays on disk but the result, in few files."""
+    at = lambda _, label: f"{tmp_path}/{label}-{len(list(tmp_path.iterdir()))}"
+    monkeypatch.setattr("liftline.llm.common.scratch_path", at)
+    monkeypatch.setattr("liftline.session.scratch_path", at)
+    monkeypatch.setattr(near_dedup, "TASK_ROWS", 100)
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", property(lambda _: 2))
+    rnd = random.Random(5)
+    first = [(k, k + 1) for k in range(1_000, 1_030)] + [(2_000, 2_000 + k) for k in range(1, 40)]
+    first += [tuple(sorted(rnd.sample(range(300), 2))) for _ in range(120)]
+    later = [tuple(sorted(rnd.sample(range(400), 2))) for _ in range(60)] + [(1_005, 2_007), (1_029, 3_000)]
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    names: dict[int, int] = {}
+    for links, known in ((first, None), (later, near_dedup.components(frame(first)))):
+        got = near_dedup.components(frame(links), known)
+        for a, b in links:
+            a, b = sorted(names.get(x, x) for x in (a, b))
+            names |= {x: a for x in [a, b, *names] if names.get(x, x) == b or x == a}
+        assert {r["node"]: r["component"] for r in got.collect()} == names and got.count() == len(names)
+    left = list(tmp_path.iterdir())
+    assert {p.name.split("-")[0] for p in left} == {"components"}
+    assert max(len(list(p.glob("part-*"))) for p in left) <= 5
