@@ -57,9 +57,10 @@ def re_pair(
         chosen = np.array(chosen, np.int64)
         ranked = np.argsort(chosen)
         table = chosen[ranked]
-        is_left = np.zeros(first_symbol + n_rules + 1, bool)
+        is_left, is_right = np.zeros((2, first_symbol + n_rules + 1), bool)
         is_left[table >> 32] = True
-        at = np.flatnonzero(is_left[seq[:-1]])
+        is_right[table & 0xFFFFFFFF] = True
+        at = np.flatnonzero(is_left[seq[:-1]] & is_right[seq[1:]])
         pairs = seq[at] << 32 | seq[at + 1]
         found = np.minimum(np.searchsorted(table, pairs), len(table) - 1)
         hit = table[found] == pairs
@@ -77,11 +78,23 @@ def re_pair(
     return (np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)), seq
 
 
+def levels(rules: np.ndarray, first_symbol: int) -> Iterator[slice]:
+    """Slices of the rules, in order: no rule of a slice is made of another of the same slice."""
+    last, start = rules.max(axis=1, initial=0) - first_symbol, 0
+    while start < len(rules):
+        later = np.flatnonzero(last[start:] >= start)
+        end = start + int(later[0]) if len(later) else len(rules)
+        if end == start:
+            raise ValueError(f"rule {start} is made of a later one")
+        yield slice(start, end)
+        start = end
+
+
 def rule_lengths(rules: np.ndarray, first_symbol: int) -> np.ndarray:
-    out: list[int] = []
-    for a, b in rules.tolist():
-        out.append(sum(1 if x < first_symbol else out[x - first_symbol] for x in (a, b)))
-    return np.array(out, np.int64)
+    out = np.ones(len(rules) + 1, np.int64)  # the last one stands for every id
+    for part in levels(rules, first_symbol):
+        out[part] = out[np.where(rules[part] < first_symbol, -1, rules[part] - first_symbol)].sum(axis=1)
+    return out[:-1]
 
 
 def packed_bytes(x: np.ndarray) -> bytes:
@@ -117,23 +130,20 @@ class Shard:
         """All ids: rules expanded once each, in order, then gathered."""
         ends = np.cumsum(self.lengths)
         pool = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
-        starts = (ends - self.lengths).tolist()
-        for (a, b), at, n in zip(self.rules.tolist(), starts, self.lengths.tolist()):
-            for x in (a, b):
-                if x < self.first:
-                    pool[at] = x
-                    at += 1
-                else:
-                    m = int(self.lengths[x - self.first])
-                    pool[at : at + m] = pool[starts[x - self.first] : starts[x - self.first] + m]
-                    at += m
+        starts = ends - self.lengths
+        for part in levels(self.rules, self.first):
+            symbols, sizes = self.rules[part], self._sizes(self.rules[part].ravel()).reshape(-1, 2)
+            at = starts[part][:, None] + np.stack([np.zeros(len(sizes), np.int64), sizes[:, 0]], axis=1)
+            rule = symbols >= self.first
+            pool[at[~rule]] = symbols[~rule]
+            pool[ranges(at[rule], sizes[rule])] = pool[ranges(starts[symbols[rule] - self.first], sizes[rule])]
         sizes = self._sizes(self.symbols)
         rule = self.symbols >= self.first
         out = np.empty(int(sizes.sum()), np.uint32)
         at = np.cumsum(sizes) - sizes
         out[at[~rule]] = self.symbols[~rule]
         used = self.symbols[rule] - self.first
-        out[ranges(at[rule], sizes[rule])] = pool[ranges(np.array(starts, np.int64)[used], sizes[rule])]
+        out[ranges(at[rule], sizes[rule])] = pool[ranges(starts[used], sizes[rule])]
         return out
 
     def slice(self, start: int, n: int) -> np.ndarray:

@@ -362,3 +362,28 @@ def test_many_exception_phrases_end_soon():
     held = [(i, i + len(p) - 1) for p in phrases for i in range(len(small)) if small.startswith(p, i)]
     assert set(toxicity.matches(small, lexicon.key)) == {s for s in plain if not any(a <= s < b for a, b in held)}
     assert got is not None
+
+
+def test_rules_are_expanded_a_level_at_a_time():
+    """Levels of rules are handled at once; lengths and ids are those of rule by rule, and chosen pairs do not depend on the prefilter."""
+    rng = np.random.default_rng(3)
+    ids = np.concatenate([np.tile(rng.integers(0, 40, 50), 40), rng.integers(0, 6, 4_000), np.full(77, 3)]).astype(np.uint32)
+    rules, symbols = token_output.re_pair(ids, 100, per_round=16)
+    plain: list[int] = []
+    for a, b in rules.tolist():
+        plain.append(sum(1 if x < 100 else plain[x - 100] for x in (a, b)))
+    parts = list(token_output.levels(rules, 100))
+    assert [k for p in parts for k in range(p.start, p.stop)] == list(range(len(rules))) and 1 < len(parts) < len(rules) / 2
+    assert all(rules[p].max() - 100 < p.start for p in parts)
+    lengths = token_output.rule_lengths(rules, 100)
+    assert lengths.tolist() == plain and token_output.rule_lengths(np.zeros((0, 2), np.int64), 100).tolist() == []
+    shard = object.__new__(token_output.Shard)
+    shard.first, shard.rules, shard.lengths, shard.symbols = 100, rules, lengths, symbols
+    assert np.array_equal(shard.ids(), ids)
+    assert np.array_equal(shard.slice(1_234, 567), ids[1_234:1_801])
+
+
+def test_scattered_characters_equal_their_hash():
+    encoder = tokens.TokenEncoder(TOKENIZER)
+    chars = np.array([0, 97, (1 << 14) - 3, (1 << 14) - 2, (1 << 14) - 1, 1 << 14, 0x10FFFF, 0xD800], np.uint32)
+    assert np.array_equal(encoder.scattered(chars), tokens.mixed(chars + np.uint32(1)))
