@@ -33,49 +33,60 @@ SHARD = (
 )
 
 
+#: Chosen pairs are looked up by a hash of that many bits.
+SLOT_BITS = 18
+
+
 def re_pair(
     ids: np.ndarray, first_symbol: int, per_round: int = 4096, least_count: int = 8, least_gain: float = 0.01
 ) -> tuple[np.ndarray, np.ndarray]:
     """(rules as pairs of symbols, compressed sequence). Symbol ``first_symbol + i`` stands for rule i."""
-    seq, rules, n_rules = ids.astype(np.int64), [], 0
+    seq, rules, n_rules = ids.astype(np.uint32), [], 0
     while len(seq) > 1:
-        keys, counts = np.unique(seq[:-1] << 32 | seq[1:], return_counts=True)
+        # two symbols in one number, of 32 bits while they fit: half the bytes to sort
+        kind, half, odd = (np.uint32, 16, 0x9E3779B1) if first_symbol + n_rules <= 1 << 16 else (np.uint64, 32, 0x9E3779B97F4A7C15)
+        pairs = seq[:-1].astype(kind) << kind(half) | seq[1:]
+        keys, counts = np.unique(pairs, return_counts=True)
         keys, counts = keys[counts >= least_count], counts[counts >= least_count]
-        order = np.lexsort((keys, -counts))[:per_round]
+        order = np.argsort(-counts, kind="stable")[:per_round]
+        firsts, seconds = keys[order] >> kind(half), keys[order] & kind((1 << half) - 1)
         left, right, chosen = set(), set(), []
-        for key in keys[order].tolist():
-            a, b = key >> 32, key & 0xFFFFFFFF
+        for k, (a, b) in enumerate(zip(firsts.tolist(), seconds.tolist())):
             if a != b and a not in right and b not in left:
                 left.add(a)
                 right.add(b)
-                chosen.append(key)
+                chosen.append(k)
         if not chosen:
-            same = [k for k in keys[order].tolist() if k >> 32 == k & 0xFFFFFFFF]
-            chosen = same[:1]  # runs of one symbol, pairs from the left
+            chosen = np.flatnonzero(firsts == seconds)[:1].tolist()  # runs of one symbol, pairs from the left
         if not chosen:
             break
-        chosen = np.array(chosen, np.int64)
-        ranked = np.argsort(chosen)
-        table = chosen[ranked]
-        is_left, is_right = np.zeros((2, first_symbol + n_rules + 1), bool)
-        is_left[table >> 32] = True
-        is_right[table & 0xFFFFFFFF] = True
-        at = np.flatnonzero(is_left[seq[:-1]] & is_right[seq[1:]])
-        pairs = seq[at] << 32 | seq[at + 1]
-        found = np.minimum(np.searchsorted(table, pairs), len(table) - 1)
-        hit = table[found] == pairs
+        ranked = np.argsort(order[chosen])  # keys ascend
+        table = keys[order[chosen]][ranked]
+        numbers = np.arange(len(table), dtype=np.int32)
+        place = table * kind(odd) >> kind(2 * half - SLOT_BITS)
+        slot = np.full(1 << SLOT_BITS, -1, np.int32)
+        slot[place] = numbers
+        slot[place[slot[place] != numbers]] = len(table)  # several pairs: searched for in the table
+        found = slot[pairs * kind(odd) >> kind(2 * half - SLOT_BITS)]
+        at = np.flatnonzero(found >= 0)
+        found, pairs = found[at], pairs[at]
+        several = np.flatnonzero(found == len(table))
+        found[several] = np.minimum(np.searchsorted(table, pairs[several]), len(table) - 1)
+        hit = np.flatnonzero(table[found] == pairs)
         at, found = at[hit], found[hit]
-        if len(chosen) == 1 and chosen[0] >> 32 == chosen[0] & 0xFFFFFFFF:
+        if firsts[chosen[0]] == seconds[chosen[0]]:
             run = np.cumsum(np.diff(at, prepend=at[:1] - 2) != 1) - 1
             even = (at - at[np.searchsorted(run, run)]) % 2 == 0
             at, found = at[even], found[even]
         if len(at) < least_gain * len(seq):
             break
         seq[at] = first_symbol + n_rules + ranked[found]
-        seq = np.delete(seq, at + 1)
-        rules.append(np.stack([chosen >> 32, chosen & 0xFFFFFFFF], axis=1))
+        stays = np.ones(len(seq), bool)
+        stays[at + 1] = False
+        seq = seq[np.flatnonzero(stays)]
+        rules.append(np.stack([firsts[chosen], seconds[chosen]], axis=1).astype(np.int64))
         n_rules += len(chosen)
-    return (np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)), seq
+    return (np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)), seq.astype(np.int64)
 
 
 def levels(rules: np.ndarray, first_symbol: int) -> Iterator[slice]:
@@ -127,24 +138,15 @@ class Shard:
         return sizes
 
     def ids(self) -> np.ndarray:
-        """All ids: rules expanded once each, in order, then gathered."""
-        ends = np.cumsum(self.lengths)
-        pool = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
-        starts = ends - self.lengths
+        """All ids: rules expanded once each, in order, then gathered. The pool holds each id by itself, then the expansions."""
+        ends = self.first + np.cumsum(self.lengths)
+        pool = np.arange(int(ends[-1]) if len(ends) else self.first, dtype=np.uint32)
+        starts = np.concatenate([np.arange(self.first), ends - self.lengths])
+        sizes = np.concatenate([np.ones(self.first, np.int64), self.lengths])
         for part in levels(self.rules, self.first):
-            symbols, sizes = self.rules[part], self._sizes(self.rules[part].ravel()).reshape(-1, 2)
-            at = starts[part][:, None] + np.stack([np.zeros(len(sizes), np.int64), sizes[:, 0]], axis=1)
-            rule = symbols >= self.first
-            pool[at[~rule]] = symbols[~rule]
-            pool[ranges(at[rule], sizes[rule])] = pool[ranges(starts[symbols[rule] - self.first], sizes[rule])]
-        sizes = self._sizes(self.symbols)
-        rule = self.symbols >= self.first
-        out = np.empty(int(sizes.sum()), np.uint32)
-        at = np.cumsum(sizes) - sizes
-        out[at[~rule]] = self.symbols[~rule]
-        used = self.symbols[rule] - self.first
-        out[ranges(at[rule], sizes[rule])] = pool[ranges(starts[used], sizes[rule])]
-        return out
+            symbols = self.rules[part].ravel()
+            pool[starts[self.first + part.start] : ends[part.stop - 1]] = pool[ranges(starts[symbols], sizes[symbols])]
+        return pool[ranges(starts[self.symbols], sizes[self.symbols])]
 
     def slice(self, start: int, n: int) -> np.ndarray:
         """``n`` ids from ``start`` on; only symbols that reach into the range are expanded."""

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 import time
 import zlib
 
@@ -387,3 +390,52 @@ def test_scattered_characters_equal_their_hash():
     encoder = tokens.TokenEncoder(TOKENIZER)
     chars = np.array([0, 97, (1 << 14) - 3, (1 << 14) - 2, (1 << 14) - 1, 1 << 14, 0x10FFFF, 0xD800], np.uint32)
     assert np.array_equal(encoder.scattered(chars), tokens.mixed(chars + np.uint32(1)))
+
+
+def test_pieces_are_spelled_as_the_library_spells_them():
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    own, split = tokens.TokenEncoder(TOKENIZER), ByteLevel(add_prefix_space=False)
+    assert sorted(map(chr, tokens.SPELLING.tolist())) == sorted(ByteLevel.alphabet())
+    pieces = [" the", "\n", "\n\n \t", "\x00\x7f", "é", " ßü", "日本", "😀!", " ", "1234567", "x" * 300]
+    asked = []
+    own.model = type("Model", (), {"tokenize": lambda self, x: asked.append(x) or own.library.model.tokenize(x)})()
+    ids, starts, counts = own.encode_pieces(pieces)
+    assert asked == ["".join(x for x, _ in split.pre_tokenize_str(p)) for p in pieces]
+    got = [ids[a : a + n].tolist() for a, n in zip(starts.tolist(), counts.tolist())]
+    assert got == [own.library.encode(p, add_special_tokens=False).ids for p in pieces]
+
+
+def test_a_task_encodes_without_threads():
+    """The library's threads wait for each other where every processor has a task; a fresh process shows whether they start."""
+    code = (
+        "import os, sys; from liftline.llm import tokens; own = tokens.TokenEncoder(sys.argv[1]); n = len(os.listdir('/proc/self/task'));"
+        "own.encode([f'word{k} and <|endoftext|> {k}' for k in range(3000)]); print(len(os.listdir('/proc/self/task')) - n)"
+    )
+    clean = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    clean["PYTHONPATH"] = os.pathsep.join(sys.path)
+    done = subprocess.run([sys.executable, "-c", code, str(TOKENIZER)], capture_output=True, text=True, env=clean, timeout=120)
+    assert done.stdout.strip() == "0", done.stderr
+
+
+@pytest.mark.parametrize("first", [300, (1 << 16) - 20, 1 << 16, 200_000])
+def test_rules_do_not_depend_on_the_width_of_symbols(first):
+    """Pairs are held in 32 bits while two symbols fit in them, and are looked up by a hash with shared slots."""
+    rng = np.random.default_rng(5)
+    ids = np.concatenate([np.tile(rng.integers(0, 250, 400), 30), rng.integers(0, 12, 6_000), np.full(77, 3)]).astype(np.uint32)
+    plain = token_output.re_pair(ids, 300, per_round=64)
+    rules, symbols = token_output.re_pair(ids, first, per_round=64)
+    told = lambda x: np.where(x >= 300, x - 300 + first, x)
+    assert len(rules) > 100 and np.array_equal(rules, told(plain[0])) and np.array_equal(symbols, told(plain[1]))
+    shard = object.__new__(token_output.Shard)
+    shard.first, shard.rules, shard.lengths, shard.symbols = first, rules, token_output.rule_lengths(rules, first), symbols
+    assert shard.ids().dtype == np.uint32 and np.array_equal(shard.ids(), ids)
+
+
+def test_pairs_that_share_a_slot_are_all_replaced(monkeypatch):
+    rng = np.random.default_rng(6)
+    ids = np.tile(rng.integers(0, 250, 400), 30).astype(np.uint32)
+    want = token_output.re_pair(ids, 300)
+    monkeypatch.setattr(token_output, "SLOT_BITS", 2)
+    got = token_output.re_pair(ids, 300)
+    assert all(np.array_equal(a, b) for a, b in zip(got, want))
